@@ -15,6 +15,7 @@ LOCAL_TZ = "America/Toronto"
 # The shapes a stored date text can have.
 STRICT_MDY = r"^\d{2}/\d{2}/\d{4}$"
 LOOSE_MDY = r"^\s*\d{1,2}/\s*\d{1,2}/\d{4}\s*$"
+MDY_PARTS = r"(?s)^\s*(\d{1,2})(?=/).*?/\s*(\d{1,2})/(?:.*/)?(\d{4})\s*$"
 ISO_PREFIX = r"^\d{4}-\d{2}-\d{2}"
 LOCAL_STAMP = r"(?i)^(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{2})\s*(am|pm)?\s*(EST|EDT|ET|UTC|GMT)?$"
 ZONE_OFFSETS = {"UTC": "+00:00", "GMT": "+00:00", "EST": "-05:00", "EDT": "-04:00"}
@@ -83,10 +84,8 @@ def iso_like(c: Column) -> Column:
 
 def normalize_mdy(c: Column) -> Column:
     """Padded, unpadded and space-padded US dates -> ``MM/DD/YYYY``; null for every other shape."""
-    month = F.lpad(_part(c, r"^\s*(\d{1,2})/"), 2, "0")
-    day = F.lpad(_part(c, r"/\s*(\d{1,2})/"), 2, "0")
-    year = _part(c, r"/(\d{4})\s*$")
-    return F.concat(month, F.lit("/"), day, F.lit("/"), year)
+    zeroed = F.regexp_replace(c, MDY_PARTS, "0$1/0$2/$3")
+    return F.when(c.rlike(MDY_PARTS), F.regexp_replace(zeroed, r"0(\d{2})/", "$1/"))
 
 
 def iso_to_mdy(c: Column) -> Column:
@@ -98,8 +97,12 @@ def normalize_any(c: Column) -> Column:
 
 
 def tolerant_date(c: Column) -> Column:
-    """The day behind any of the US variants; null for text that is not a date."""
-    return F.try_to_date(normalize_mdy(c), "MM/dd/yyyy")
+    """The day behind any of the US variants; null for text that is not a date.
+
+    The text is looked at once: values of the right shape get a mark that the date pattern asks for, and whatever
+    comes without it cannot be read.
+    """
+    return F.try_to_date(F.regexp_replace(c, MDY_PARTS, "mdy $1/$2/$3"), "'mdy 'M/d/yyyy")
 
 
 def tolerant_date_any(c: Column) -> Column:
@@ -118,6 +121,14 @@ def repairable(c: Column) -> Column:
     return F.coalesce(known & ~strict_mdy(c), F.lit(False))
 
 
+def day_within(day: Column, start: date, end: date, listed: int = 100) -> Column:
+    """True when ``day`` lies in the closed range. A short range is a list, so a costly ``day`` is computed once."""
+    span = (end - start).days + 1
+    if 0 < span <= listed:
+        return day.isin([start + timedelta(days=i) for i in range(span)])
+    return day.between(F.lit(start), F.lit(end))
+
+
 def parse_date_any(c: Column, formats: tuple[str, ...] = ("yyyy-MM-dd", "M/d/yyyy", "MMM d, yyyy")) -> Column:
     """The first of the given patterns that reads the trimmed text; ISO date-times count by their UTC day."""
     raw = F.trim(c)

@@ -105,7 +105,7 @@ def full_name(first: Column, last: Column) -> Column:
 
 def status_set(c: Column) -> Column:
     """Distinct trimmed entries of a comma list; an empty array for null."""
-    parts = F.transform(F.split(F.coalesce(c, F.lit("")), ","), F.trim)
+    parts = F.transform(F.split(F.coalesce(c, F.lit("")), ","), lambda s: F.trim(s))
     return F.array_distinct(F.filter(parts, lambda s: s != ""))
 
 

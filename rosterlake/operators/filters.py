@@ -30,7 +30,7 @@ def drop_junk(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def in_month(df: DataFrame, spec: TableSpec, start: date, end: date) -> DataFrame:
     """Rows whose audit day lies in the range; whole partitions are skipped where the table has a month column."""
-    return df.where(month_bounds(df, start, end) & spec.day().between(F.lit(start), F.lit(end)))
+    return df.where(month_bounds(df, start, end) & spec.within(start, end))
 
 
 def is_cancelled(status: Column) -> Column:

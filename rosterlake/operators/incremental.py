@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rosterlake.functions.dates import last_finished_day
-from rosterlake.operators.filters import drop_junk
-from rosterlake.sources.tables import month_bounds
+from rosterlake.operators.filters import drop_junk, in_month
 from rosterlake.specs import TableSpec
 
 #: How far the lookup of stored keys reaches beyond the window.
@@ -58,10 +57,6 @@ def buffered(start: date, end: date, before: int = LATE_DAYS, after: int = 0) ->
     return start - timedelta(days=before), end + timedelta(days=after)
 
 
-def in_window(df: DataFrame, spec: TableSpec, start: date, end: date) -> DataFrame:
-    return df.where(month_bounds(df, start, end) & spec.day().between(F.lit(start), F.lit(end)))
-
-
 def window_index(spec: TableSpec, start: date, days: int) -> Column:
     """Number of the fetch window that a row of the span belongs to."""
     return F.floor(F.datediff(spec.day(), F.lit(start)) / days)
@@ -118,22 +113,24 @@ def new_rows(source: DataFrame, stored: DataFrame, spec: TableSpec) -> DataFrame
     return source.join(held, same, "left_anti")
 
 
+def append_rows(batch: DataFrame, stored: DataFrame, spec: TableSpec, order: list[Column] | None = None) -> DataFrame:
+    """First row per key of ``batch`` that is not stored. Ties are broken by the whole row."""
+    whole_row = [F.col(f"`{c}`") for c in spec.names]
+    first = keep_first(batch, [spec.key_value(k) for k in spec.keys], (order or []) + whole_row)
+    return new_rows(first, stored, spec)
+
+
 def incremental_append(source: DataFrame, stored: DataFrame, spec: TableSpec, span: tuple[date, date],
-                       order: list[Column] | None = None, strict_reference: bool = False,
-                       narrow: bool = True) -> DataFrame:
+                       order: list[Column] | None = None, strict_reference: bool = False) -> DataFrame:
     """Rows of the span to append: in the span, first per key, not stored.
 
     ``strict_reference`` keeps duplicates that arrive in the same fetch window. Keys that hold the date are looked up
-    in the stored rows of the buffered span only, id keys in all stored rows. With ``narrow`` off the caller has
-    limited ``stored`` already.
+    in the stored rows of the buffered span only, id keys in all stored rows.
     """
     start, end = span
-    batch = in_window(source, spec, start, end)
+    batch = in_month(source, spec, start, end)
+    if spec.date_column in spec.keys:
+        stored = in_month(stored, spec, *buffered(start, end))
     if strict_reference:
-        batch = first_fetch(batch, spec, start)
-    else:
-        whole_row = [F.col(f"`{c}`") for c in spec.names]
-        batch = keep_first(batch, [spec.key_value(k) for k in spec.keys], (order or []) + whole_row)
-    if narrow and spec.date_column in spec.keys:
-        stored = in_window(stored, spec, *buffered(start, end))
-    return new_rows(batch, stored, spec)
+        return new_rows(first_fetch(batch, spec, start), stored, spec)
+    return append_rows(batch, stored, spec, order)

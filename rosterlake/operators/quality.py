@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from rosterlake.functions import dates as D
 from rosterlake.functions import text as X
 from rosterlake.operators.filters import drop_junk, in_month
+from rosterlake.sources.tables import MONTH, NO_MONTH, month_bounds
 from rosterlake.specs import TableSpec
 
 #: Columns of an audit report, in order.
@@ -30,6 +31,11 @@ def present_days(df: DataFrame, spec: TableSpec, start: date, end: date) -> Data
     return in_month(drop_junk(df, spec), spec, start, end).select(spec.day().alias("d")).distinct()
 
 
+def days_frame(spark: SparkSession, days: list[date]) -> DataFrame:
+    """A handful of calendar days as rows."""
+    return spark.createDataFrame([(d,) for d in days], "d date")
+
+
 def missing_dates(df: DataFrame, spec: TableSpec, start: date, end: date) -> DataFrame:
     """Days of the range without a row. Both sides are bounded by the days of the range."""
     days = calendar_days(df.sparkSession, start, end)
@@ -101,9 +107,30 @@ def unparseable(df: DataFrame, spec: TableSpec) -> DataFrame:
     return drop_junk(df, spec).agg(F.count_if(is_unparseable(spec)).alias("unparseable"))
 
 
+def month_facts(df: DataFrame, spec: TableSpec, start: date, end: date) -> DataFrame:
+    """Days present, unparseable, bad and repairable rows of a month: one pass, one row.
+
+    The set of days is bounded by the range. Where the table is partitioned by month, only the month and the rows
+    without a readable day are read, and the latter are all that can be unparseable.
+    """
+    scope = month_bounds(df, start, end)
+    if MONTH in df.columns:
+        scope = scope | (F.col(MONTH) == NO_MONTH)
+    marked = df.where(scope).select(
+        spec.day().alias("d"), spec.keep().alias("keep"), is_unparseable(spec).alias("unparseable"),
+        is_bad_format(spec).alias("bad"), is_repairable(spec).alias("repairable"),
+    ).withColumn("inside", F.coalesce(F.col("d").between(F.lit(start), F.lit(end)), F.lit(False)))
+    return marked.agg(
+        F.sort_array(F.collect_set(F.when(F.col("keep") & F.col("inside"), F.col("d")))).alias("days"),
+        F.count_if(F.col("keep") & F.col("unparseable")).alias("unparseable"),
+        F.count_if(F.col("inside") & F.col("bad")).alias("bad_format"),
+        F.count_if(F.col("inside") & F.col("repairable")).alias("repairable"),
+    )
+
+
 def repair_formats(df: DataFrame, spec: TableSpec, start: date | None = None, end: date | None = None) -> DataFrame:
     """Rewrite known date variants to the strict text; other values stay. With bounds, only rows of that range."""
-    inside = F.lit(True) if start is None else F.coalesce(spec.day().between(F.lit(start), F.lit(end)), F.lit(False))
+    inside = F.lit(True) if start is None else F.coalesce(spec.within(start, end), F.lit(False))
     fixed = {
         c: F.when(inside, D.repaired_text(F.col(f"`{c}`"))).otherwise(F.col(f"`{c}`")) for c in spec.format_columns
     }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,70 +25,74 @@ class Audit:
     counters: DataFrame
 
 
-def _metric(df: DataFrame, *names: str) -> list[DataFrame]:
-    """Single-row aggregates as (metric, value) rows."""
-    pairs = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("bigint").alias("value")) for n in names])
-    return [df.select(F.explode(pairs).alias("m")).select("m.metric", "m.value")]
-
-
-def _count(df: DataFrame, name: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias(name))
-
-
 def repaired_month(stored: DataFrame, spec: TableSpec, start: date, end: date) -> DataFrame:
     """The rows of the month with strict dates and without exact duplicates."""
     return Q.drop_exact_dups(Q.repair_formats(in_month(stored, spec, start, end), spec))
 
 
-def backfill(stored: DataFrame, source: DataFrame, spec: TableSpec, missing: DataFrame, start: date, end: date
-             ) -> DataFrame:
-    """Source rows on missing days whose key is not stored near them.
+def backfill(stored: DataFrame, source: DataFrame, spec: TableSpec, missing: list[date]) -> DataFrame:
+    """Source rows on the missing days whose key is not stored near them.
 
-    Stored keys are looked up from three days before the first to three days after the last missing day. Missing days
-    and lookup days are calendar rows, a few dozen at most, and so may be broadcast.
+    Stored keys are looked up from three days before the first to three days after the last missing day. The days
+    are literals, so both sides read only the months concerned.
     """
-    def on_days(df: DataFrame, days: DataFrame) -> DataFrame:
-        return df.withColumn("_day", spec.day()).join(F.broadcast(days), "_day", "left_semi").drop("_day")
+    if not missing:
+        return source.limit(0)
+    first, last = missing[0], missing[-1]
+    wanted = source.where(tables.month_bounds(source, first, last) & spec.day().isin(missing))
+    held = drop_junk(in_month(stored, spec, *I.buffered(first, last, after=I.LATE_DAYS)), spec)
+    return I.append_rows(wanted, held, spec)
 
-    near = missing.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).select(
-        F.explode(F.sequence(F.date_sub("lo", I.LATE_DAYS), F.date_add("hi", I.LATE_DAYS))).alias("_day")
-    )
-    wanted = on_days(I.in_window(source, spec, start, end), missing.withColumnRenamed("d", "_day"))
-    held = on_days(drop_junk(I.in_window(stored, spec, *I.buffered(start, end, after=I.LATE_DAYS)), spec), near)
-    return I.incremental_append(wanted, held, spec, (start, end), narrow=False)
+
+def find_missing(stored: DataFrame, spec: TableSpec, start: date, end: date) -> list[date]:
+    """Missing days of the month, on the driver: at most one value per day."""
+    return sorted(r["d"] for r in Q.missing_dates(stored, spec, start, end).collect())
 
 
 def audit_table(stored: DataFrame, source: DataFrame, spec: TableSpec, start: date, end: date) -> Audit:
     """The ordered repair of one month: read gaps, fix formats, count and remove duplicates, backfill.
 
-    Duplicates are counted after the repair, since two copies of a row may differ only in how they write a date.
-    Nothing is written. Counters are a handful of aggregates, joined as (metric, value) rows.
+    One pass over the month brings its days and format counts to the driver (a single row). With the missing days as
+    literals, the backfill is skipped when there are none and reads only their months when there are some. Duplicates
+    are counted after the repair, since two copies of a row may differ only in how they write a date. Nothing is
+    written.
     """
-    month = in_month(stored, spec, start, end)
-    fixed = Q.repair_formats(month, spec)
-    missing = Q.missing_dates(stored, spec, start, end)
-    filled = backfill(stored, source, spec, missing, start, end)
-    empty = Q.confirmed_empty(missing, source, spec)
-    days = _count(Q.present_days(stored, spec, start, end), "days_present")
-    parts = (
-        _metric(days, "days_present")
-        + _metric(_count(missing, "missing_days"), "missing_days")
-        + _metric(_count(empty, "confirmed_empty"), "confirmed_empty")
-        + _metric(_count(filled, "backfilled_rows"), "backfilled_rows")
-        + _metric(Q.unparseable(stored, spec), "unparseable")
-        + _metric(Q.bad_format(stored, spec, start, end), "bad_format", "repairable")
-        + _metric(Q.duplicate_counts(fixed, list(spec.keys)), "total_rows", "duplicate_rows", "key_collisions")
-    )
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    wide = rows.agg(*[
-        F.max(F.when(F.col("metric") == c, F.col("value"))).alias(c) for c in Q.COUNTERS if c != "backfilled_days"
-    ]).withColumn("backfilled_days", F.col("missing_days") - F.col("confirmed_empty"))
-    counters = wide.select(F.lit(spec.name).alias("table_name"), *Q.COUNTERS, F.lit(None).cast("string").alias("error"))
+    facts = Q.month_facts(stored, spec, start, end).first()
+    calendar = [start + timedelta(days=i) for i in range((end - start).days + 1)]
+    missing = [d for d in calendar if d not in set(facts["days"])]
+    filled = backfill(stored, source, spec, missing)
+    fixed = Q.repair_formats(in_month(stored, spec, start, end), spec)
+
+    on_missing = source.where(tables.month_bounds(source, start, end) & spec.day().isin(missing or [start]))
+    parts = [
+        Q.duplicate_counts(fixed, list(spec.keys)),
+        filled.agg(F.count(F.lit(1)).alias("backfilled_rows")),
+        on_missing.agg(F.count_distinct(spec.day()).alias("backfilled_days")),
+    ]
+    rows = _as_metrics(parts)
+    known = {"days_present": len(facts["days"]), "missing_days": len(missing), "unparseable": facts["unparseable"],
+             "bad_format": facts["bad_format"], "repairable": facts["repairable"]}
+    wide = rows.agg(*[F.max(F.when(F.col("metric") == c, F.col("value"))).alias(c)
+                      for part in parts for c in part.columns])
+    wide = wide.withColumns({c: F.lit(v).cast("bigint") for c, v in known.items()})
+    if not missing:
+        wide = wide.withColumn("backfilled_days", F.lit(0).cast("bigint"))
+    counters = wide.withColumn("confirmed_empty", F.col("missing_days") - F.col("backfilled_days")).select(
+        F.lit(spec.name).alias("table_name"), *Q.COUNTERS, F.lit(None).cast("string").alias("error"))
     return Audit(repaired_month(stored, spec, start, end), filled, counters)
 
 
+def _as_metrics(parts: list[DataFrame]) -> DataFrame:
+    """Single-row aggregates as (metric, value) rows, so that they can be put side by side without a join."""
+    out = None
+    for part in parts:
+        pairs = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value"))
+                          for c in part.columns])
+        rows = part.select(F.explode(pairs).alias("m")).select("m.metric", "m.value")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def failed_audit(stored: DataFrame, spec: TableSpec, error: str) -> DataFrame:
     """Counter row of a table whose audit failed; the other tables go on."""
     row = stored.sparkSession.range(1)

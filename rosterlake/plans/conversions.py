@@ -8,12 +8,17 @@ from pyspark.sql import functions as F
 from rosterlake.functions import dates as D
 from rosterlake.functions import text as X
 from rosterlake.operators.filters import qualifies
+from rosterlake.sources.reports import raw_name
+
+
+#: Report cells an event needs as they were sent: the stored text has no seconds.
+RAW_CELLS = ("Order Date (UTC)", "Order Time (UTC)")
 
 
 def conversion_rows(sales: DataFrame, users: DataFrame) -> DataFrame:
     """Sales rows with the buyer's contact data: the user record by id, else the e-mail on the sale itself.
 
-    ``sales`` are report rows (ISO dates, 24-hour times). Users are unique by id, so a buyer with very many sales only
+    Users are unique by id, so a buyer with very many sales only
     makes the sales side uneven, which adaptive execution splits.
     """
     u = users.select(
@@ -31,13 +36,20 @@ def conversion_rows(sales: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def conversion_events(rows: DataFrame) -> DataFrame:
-    """One event per row. Contact values leave only as hashes; a value that is missing leaves no key."""
+    """One event per row. Contact values leave only as hashes; a value that is missing leaves no key.
+
+    The event time comes from the raw cells of the report where they were kept (``RAW_CELLS``), else from the row,
+    which then has to hold ISO dates and 24-hour times.
+    """
+    raw = [raw_name(h) for h in RAW_CELLS]
+    day, clock = raw if set(raw) <= set(rows.columns) else ("order_date_utc", "order_time_utc")
+
     def hashed(c: str):
         return X.pii_hash(F.col(c))
 
     return rows.select(
         "order_number", F.lit("Purchase").alias("event_name"),
-        D.event_time(F.col("order_date_utc"), F.col("order_time_utc")).alias("event_time"),
+        D.event_time(F.col(day), F.col(clock)).alias("event_time"),
         F.lit("physical_store").alias("action_source"),
         hashed("email").alias("em"), hashed("phone").alias("ph"), hashed("first_name").alias("fn"),
         hashed("last_name").alias("ln"),

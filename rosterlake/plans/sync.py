@@ -64,5 +64,5 @@ def apply_sync(result: Sync, path: str, spec: TableSpec, plan: bool = False) ->
     if plan or result.span is None:
         return result.rows
     rows = cut_lineage(result.rows)
-    tables.append(rows, path, spec)
+    tables.append(rows.select(*[f"`{c}`" for c in spec.names]), path, spec)
     return rows

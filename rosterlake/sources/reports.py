@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterlake.specs import TableSpec
+from rosterlake.specs import TableSpec, snake_name
 
 REPORT_SCHEMA = T.StructType([
     T.StructField("headers", T.ArrayType(T.StringType())),
@@ -40,15 +40,27 @@ def report_rows(reports: DataFrame) -> DataFrame:
     return reports.select(F.explode("rows").alias("row"))
 
 
-def map_report(rows: DataFrame, spec: TableSpec, row: Column | None = None) -> DataFrame:
-    """Cell i of every row -> the i-th named, typed column; a short row leaves the rest null."""
-    row = F.col("row") if row is None else row
-    return rows.select(*[spec.cell(i, F.get(row, F.lit(i))) for i in range(len(spec.headers))])
+def map_report(rows: DataFrame, spec: TableSpec, keep_raw: tuple[str, ...] = ()) -> DataFrame:
+    """Cell i of every row -> the i-th named, typed column; a short row leaves the rest null.
+
+    Cells named in ``keep_raw`` are carried along unchanged as ``raw_<name>``, for jobs that need what the stored
+    spelling drops.
+    """
+    def cell(i: int) -> Column:
+        return F.get("row", F.lit(i))
+
+    raw = [cell(spec.headers.index(h)).alias(raw_name(h)) for h in keep_raw]
+    return rows.select(*[spec.cell(i, cell(i)) for i in range(len(spec.headers))], *raw)
+
+
+def raw_name(header: str) -> str:
+    return f"raw_{snake_name(header)}"
 
 
-def read_table_report(spark: SparkSession, path: str | list[str], spec: TableSpec) -> DataFrame:
+def read_table_report(spark: SparkSession, path: str | list[str], spec: TableSpec, keep_raw: tuple[str, ...] = ()
+                      ) -> DataFrame:
     """Landed files -> checked, mapped rows of ``spec``."""
-    return map_report(report_rows(assert_headers(read_report(spark, path), spec)), spec)
+    return map_report(report_rows(assert_headers(read_report(spark, path), spec)), spec, keep_raw)
 
 
 def pick_columns(reports: DataFrame, wanted: dict[str, str]) -> DataFrame:

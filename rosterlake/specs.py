@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -95,6 +96,12 @@ class TableSpec:
             return stored
         return D.tolerant_date(stored) if self.date_kind == "us" else D.tolerant_date_any(stored)
 
+    def within(self, start: date, end: date) -> Column:
+        """Audit day in the closed range: a plain range for a stored date (the scan can use it), else one parse."""
+        if self.date_kind == "date":
+            return self.day().between(F.lit(start), F.lit(end))
+        return D.day_within(self.day(), start, end)
+
     def keep(self) -> Column:
         """True for rows that are data."""
         return self.junk() if self.junk else F.lit(True)
