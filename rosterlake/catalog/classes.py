@@ -160,7 +160,7 @@ _NEAR = """SELECT b.event_id AS request_id, s.session_id, cast(abs(epoch(s.start
 def _near(t):
     asked = t.ticks.select(F.col("event_id").alias("request_id"), F.col("room").alias("location_id"),
                            F.timestamp_seconds("sec").alias("target_ts"), F.lit(None).cast("string").alias("class_name"))
-    return N.match_sessions(asked, _sessions(t), 20)
+    return N.match_sessions(asked, _sessions(t), 20).select("request_id", "session_id", "delta_seconds")
 
 
 # --- equipment --------------------------------------------------------------------------------------------------------

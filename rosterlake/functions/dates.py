@@ -17,7 +17,6 @@ STRICT_MDY = r"^\d{2}/\d{2}/\d{4}$"
 LOOSE_MDY = r"^\s*\d{1,2}/\s*\d{1,2}/\d{4}\s*$"
 MDY_PARTS = r"(?s)^\s*(\d{1,2})(?=/).*?/\s*(\d{1,2})/(?:.*/)?(\d{4})\s*$"
 ISO_PREFIX = r"^\d{4}-\d{2}-\d{2}"
-LOCAL_STAMP = r"(?i)^(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{2})\s*(am|pm)?\s*(EST|EDT|ET|UTC|GMT)?$"
 ZONE_OFFSETS = {"UTC": "+00:00", "GMT": "+00:00", "EST": "-05:00", "EDT": "-04:00"}
 FRENCH_MONTHS = (
     "janvier", "février", "mars", "avril", "mai", "juin",
@@ -137,29 +136,25 @@ def parse_date_any(c: Column, formats: tuple[str, ...] = ("yyyy-MM-dd", "M/d/yyy
 
 
 def local_text_to_utc(c: Column, default_offset: str = "-05:00") -> Column:
-    """ISO text, epoch milliseconds, or ``M/D/YYYY h:mm am ZONE`` -> UTC timestamp; null when unreadable."""
+    """ISO text, epoch milliseconds, or ``M/D/YYYY h:mm am ZONE`` -> UTC timestamp; null when unreadable.
+
+    The local form is rewritten step by step until a date pattern can read it, each step taking the text once: one
+    blank between parts, the zone as an offset (the default one when there is none), and hours that are not on a
+    12-hour clock without their am or pm.
+    """
     raw = F.trim(c)
-    iso = F.when(raw.rlike(r"^\d{4}-\d{2}-\d{2}T"), F.try_to_timestamp(raw))
-    epoch = F.when(raw.rlike(r"^\d{10,15}$"), F.timestamp_millis(raw.try_cast("bigint")))
-    hour = _part(raw, LOCAL_STAMP, 4).cast("int")
-    half = F.lower(_part(raw, LOCAL_STAMP, 6))
-    hour24 = (
-        F.when((half == "am") & (hour == 12), 0)
-        .when((half == "pm") & (hour != 12), hour + 12)
-        .otherwise(hour)
-        .cast("string")
-    )
-    zone = F.upper(_part(raw, LOCAL_STAMP, 7))
-    offset = F.lit(default_offset)
-    for name, value in ZONE_OFFSETS.items():
-        offset = F.when(zone == name, F.lit(value)).otherwise(offset)
-    text = F.concat(
-        _part(raw, LOCAL_STAMP, 3), F.lit("-"),
-        F.lpad(_part(raw, LOCAL_STAMP, 1), 2, "0"), F.lit("-"),
-        F.lpad(_part(raw, LOCAL_STAMP, 2), 2, "0"), F.lit("T"),
-        F.lpad(hour24, 2, "0"), F.lit(":"), _part(raw, LOCAL_STAMP, 5), F.lit(":00"), offset,
+    local = F.regexp_replace(raw, r"\s+", " ")
+    for zone, offset in {**ZONE_OFFSETS, "ET": default_offset}.items():
+        local = F.regexp_replace(local, f"(?i) ?{zone}$", f" {offset}")
+    local = F.regexp_replace(local, r"(?<![-+]\d\d:\d\d)$", f" {default_offset}")
+    local = F.regexp_replace(local, r"(?i) (0?0|1[3-9]|2[0-3]):(\d\d) ?am ", " $1:$2 ")
+    local = F.regexp_replace(local, r"(?i) 0?0:(\d\d) ?pm ", " 12:$1 pm ")
+    return F.coalesce(
+        F.try_to_timestamp(local, F.lit("M/d/yyyy h:mm[ ]a xxx")),
+        F.try_to_timestamp(local, F.lit("M/d/yyyy H:mm xxx")),
+        F.when(raw.rlike(r"^\d{4}-\d{2}-\d{2}T"), F.try_to_timestamp(raw)),
+        F.when(raw.rlike(r"^\d{10,15}$"), F.timestamp_millis(raw.try_cast("bigint"))),
     )
-    return F.coalesce(iso, epoch, F.try_to_timestamp(text))
 
 
 def utc_to_local_text(c: Column, tz: str = LOCAL_TZ) -> Column:

@@ -10,11 +10,11 @@ from rosterlake.functions import text as X
 
 
 def match_sessions(requests: DataFrame, sessions: DataFrame, minutes: int = 2) -> DataFrame:
-    """For every request the session at its location nearest in time, within +-``minutes``.
+    """Every request with the session at its location nearest in time, within +-``minutes``.
 
-    ``requests``: request_id, location_id, target_ts, class_name (null = any class). ``sessions``: session_id,
-    location_id, start_ts, class_name. Class names are compared trimmed and in lower case. Equal distances go to
-    the smaller id. Result: request_id, session_id (null without a match), delta_seconds.
+    ``requests``: location_id, target_ts, class_name (null = any class) and whatever else should come along.
+    ``sessions``: session_id, location_id, start_ts, class_name. Class names are compared trimmed and in lower case.
+    Equal distances go to the smaller id. Added: session_id (null without a match), delta_seconds.
 
     No pairs are built. Requests become their distinct (place, class, instant); sessions become the smallest id per
     (place, class, instant). Both are laid on one time line per place, class and time slot, and the last session
@@ -24,50 +24,45 @@ def match_sessions(requests: DataFrame, sessions: DataFrame, minutes: int = 2) -
     """
     reach = minutes * 60_000_000
     slot = max(2 * reach, 60_000_000)
-    want = requests.select(
-        "request_id", "location_id", F.unix_micros("target_ts").alias("at"),
-        F.coalesce(X.norm_name(F.col("class_name")), F.lit("")).alias("class_key"),
-    )
-    asked = want.where(F.col("location_id").isNotNull() & F.col("at").isNotNull()).select(
-        "location_id", "class_key", "at"
-    ).distinct()
+    line_key = ["location_id", "_class", "_at"]
+    want = requests.withColumns({
+        "_at": F.unix_micros("target_ts"),
+        "_class": F.coalesce(X.norm_name(F.col("class_name")), F.lit("")),
+    })
+    # rows without a place or an instant make one group here, and no session can meet it
+    asked = want.select(*line_key).distinct()
     held = sessions.where(F.col("start_ts").isNotNull()).select(
-        "session_id", "location_id", F.unix_micros("start_ts").alias("at"),
+        "session_id", "location_id", F.unix_micros("start_ts").alias("_at"),
         F.explode(F.array_distinct(F.array(F.lit(""), F.coalesce(X.norm_name(F.col("class_name")), F.lit("")))))
-        .alias("class_key"),
-    ).groupBy("location_id", "class_key", "at").agg(F.min("session_id").alias("session_id"))
+        .alias("_class"),
+    ).groupBy(*line_key).agg(F.min("session_id").alias("session_id"))
 
     def slot_of(at: Column) -> Column:
         return F.floor(at / slot).cast("bigint")
 
     line = asked.select(
-        "location_id", "class_key", slot_of(F.col("at")).alias("slot"), "at", F.lit(True).alias("is_request"),
+        *line_key, slot_of(F.col("_at")).alias("_slot"), F.lit(True).alias("_asked"),
         F.lit(None).cast(held.schema["session_id"].dataType).alias("session_id"),
     ).unionByName(held.select(
-        "location_id", "class_key",
-        F.explode(F.sequence(slot_of(F.col("at") - reach), slot_of(F.col("at") + reach))).alias("slot"),
-        "at", F.lit(False).alias("is_request"), "session_id",
+        *line_key, F.explode(F.sequence(slot_of(F.col("_at") - reach), slot_of(F.col("_at") + reach))).alias("_slot"),
+        F.lit(False).alias("_asked"), "session_id",
     ))
-    here = F.when(~F.col("is_request"), F.struct("at", "session_id"))
+    here = F.when(~F.col("_asked"), F.struct("_at", "session_id"))
     # sessions sort before a request at the same instant, so an exact hit is the last session before it
     # both frames grow by one row at a time, in rising and in falling order, which keeps the scan linear
-    lane = Window.partitionBy("location_id", "class_key", "slot").rowsBetween(Window.unboundedPreceding, 0)
-    before = F.last(here, ignorenulls=True).over(lane.orderBy("at", "is_request"))
-    after = F.last(here, ignorenulls=True).over(lane.orderBy(F.desc("at"), "is_request"))
-    near = line.select("location_id", "class_key", "at", "is_request", before.alias("b"), after.alias("a")).where(
-        "is_request"
-    )
-    gap_b, gap_a = F.col("at") - F.col("b.at"), F.col("a.at") - F.col("at")
+    lane = Window.partitionBy("location_id", "_class", "_slot").rowsBetween(Window.unboundedPreceding, 0)
+    before = F.last(here, ignorenulls=True).over(lane.orderBy("_at", "_asked"))
+    after = F.last(here, ignorenulls=True).over(lane.orderBy(F.desc("_at"), "_asked"))
+    near = line.select(*line_key, "_asked", before.alias("b"), after.alias("a")).where("_asked")
+    gap_b, gap_a = F.col("_at") - F.col("b._at"), F.col("a._at") - F.col("_at")
     options = F.array(
         F.when(gap_b <= reach, F.struct(gap_b.alias("gap"), F.col("b.session_id").alias("session_id"))),
         F.when(gap_a <= reach, F.struct(gap_a.alias("gap"), F.col("a.session_id").alias("session_id"))),
     )
-    best = near.select(
-        "location_id", "class_key", "at", F.array_min(F.filter(options, lambda o: o.isNotNull())).alias("best")
-    )
-    return want.join(best, ["location_id", "class_key", "at"], "left").select(
-        "request_id", F.col("best.session_id").alias("session_id"),
-        (F.col("best.gap") / 1_000_000).cast("bigint").alias("delta_seconds"),
+    best = near.select(*line_key, F.array_min(F.filter(options, lambda o: o.isNotNull())).alias("_best"))
+    return want.join(best, line_key, "left").select(
+        *[F.col(f"`{c}`") for c in requests.columns], F.col("_best.session_id").alias("session_id"),
+        (F.col("_best.gap") / 1_000_000).cast("bigint").alias("delta_seconds"),
     )
 
 

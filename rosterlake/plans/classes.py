@@ -116,10 +116,7 @@ def resolve_class_ids(requests: DataFrame, locations: DataFrame, sessions: DataF
     rooms = locations.groupBy(X.norm_name(F.col("name")).alias("room_key")).agg(F.min("location_id").alias("location_id"))
     marked = requests.withColumns({"state": state, "target_ts": at, "room_key": X.norm_name(F.col("room"))})
     placed = marked.join(rooms.where(F.col("room_key").isNotNull()), "room_key", "left")
-    open_ones = placed.where((F.col("state") == "open") & F.col("target_ts").isNotNull()).select(
-        "request_id", "location_id", "target_ts", "class_name")
-    found = N.match_sessions(open_ones, sessions, minutes)
-    return placed.select("request_id", "state", "target_ts").join(found, "request_id", "left").select(
+    return N.match_sessions(placed, sessions, minutes).select(
         "request_id", F.col("session_id").alias("class_session_id"), "delta_seconds",
         F.when(F.col("state") != "open", "skipped").when(F.col("target_ts").isNull(), "error")
         .when(F.col("session_id").isNull(), "not_found").otherwise("updated").alias("outcome"),

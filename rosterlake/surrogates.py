@@ -12,6 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from rosterlake.specs import RESERVATIONS_TEXT, SALES_TEXT
 
@@ -637,8 +638,19 @@ def with_clause(names: tuple[str, ...], dialect: SparkText | DuckText) -> str:
     return "WITH " + ", ".join(f"{n} AS ({VIEWS[n].text(dialect)})" for n in chain(names))
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def base_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A test table. Its schema is looked up once per folder, so that later reads need no footer job."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A view as a DataFrame. Only the columns and rows a query asks for are derived: it is one lazy plan."""
     text = f"{with_clause((name,), SparkText())} SELECT * FROM {name}"
-    used = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in BASE_TABLES if "{" + t + "}" in text}
+    used = {t: base_table(spark, folder, t) for t in BASE_TABLES if "{" + t + "}" in text}
     return spark.sql(text, **used)
