@@ -351,8 +351,9 @@ def _overall(t):
 
 
 @query("t05_buffered_keys", SV, f"""
-  SELECT DISTINCT {', '.join(f"nullif({c}, '') AS k{i}" for i, c in enumerate(SALES.keys))} FROM stored
+  SELECT DISTINCT {', '.join(f"coalesce({c}, '') AS k{i}" for i, c in enumerate(SALES.keys))} FROM stored
   WHERE d BETWEEN DATE '{START}' - 3 AND DATE '{END}' + 3""", SALES_CTES)
 def _buffered(t):
     lo, hi = I.buffered(START, END, 3, 3)
-    return I.key_frame(P.in_month(sales_stored(t), SALES, lo, hi), SALES, "k")
+    keys = I.key_frame(P.in_month(sales_stored(t), SALES, lo, hi), SALES)
+    return keys.toDF(*[f"k{i}" for i in range(len(SALES.keys))])

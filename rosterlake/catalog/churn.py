@@ -248,16 +248,15 @@ def _credit_features(t):
 
 
 def flagship(t: Tables):
-    """Features of both populations with a transparent risk number, its tier and the signal text."""
-    members, credits = C.churn_features(tables(t), SALES_DAY)
+    """Features of both populations with a transparent risk number, its tier and the signal text; one pass."""
+    both = S.both_features(C.people(tables(t), SALES_DAY), SALES_DAY)
     risk = F.least(F.col("gap_days"), F.lit(100)) / 100
-
-    def shape(df, population, signal):
-        return df.select("email", F.lit(population).alias("population"), "last_visit_date", "days_since_last_visit",
-                         "gap_days", "visit_count", risk.alias("risk"), S.tier_of(population, risk).alias("tier"),
-                         signal.alias("key_signal"))
-
-    return shape(members, "membership", S.membership_signal()).unionByName(shape(credits, "credit", S.credit_signal()))
+    member = F.col("category") == "membership"
+    return both.select(
+        "email", F.col("category").alias("population"), "last_visit_date", "days_since_last_visit", "gap_days",
+        "visit_count", risk.alias("risk"),
+        F.when(member, S.tier_of("membership", risk)).otherwise(S.tier_of("credit", risk)).alias("tier"),
+        F.when(member, S.membership_signal()).otherwise(S.credit_signal()).alias("key_signal"))
 
 
 def _tier_sql(critical: str) -> str:
@@ -279,10 +278,11 @@ query("c05_churn_features_with_tiers", ALL,
 # --- models: rows-only checks ---------------------------------------------------------------------------------------
 
 
-def fitted(t: Tables, members, credits) -> S.Models:
+def fitted(everyone) -> S.Models:
     """Classifiers trained on the rows themselves: a long gap is the label."""
     late = (F.col("days_since_last_visit") > 60).cast("double")
     stay = (F.col("gap_days") > 90).cast("double")
+    members, credits = S.member_features(everyone, SALES_DAY), S.credit_features(everyone, SALES_DAY)
     swapped = members.withColumns({"month_sin": F.col("asof_month_sin"), "month_cos": F.col("asof_month_cos")})
     return S.Models(
         S.fit_churn(members.withColumn("label", late), S.MEMBERSHIP_INPUTS),
@@ -293,23 +293,21 @@ def fitted(t: Tables, members, credits) -> S.Models:
 
 @query("m01_m04_fit_and_score")
 def _score(t):
-    members, credits = (df.persist() for df in C.churn_features(tables(t), SALES_DAY))
-    models = fitted(t, members, credits)
-    return C.score_people(members, credits, models)
+    everyone = C.people(tables(t), SALES_DAY).persist()
+    models = fitted(everyone)
+    return C.score_people(S.member_features(everyone, SALES_DAY), S.credit_features(everyone, SALES_DAY), models)
 
 
 @query("m03_score_return")
 def _score_return(t):
-    members, credits = (df.persist() for df in C.churn_features(tables(t), SALES_DAY))
-    return S.score_return(members, fitted(t, members, credits).permanence)
+    everyone = C.people(tables(t), SALES_DAY).persist()
+    return S.score_return(S.member_features(everyone, SALES_DAY), fitted(everyone).permanence)
 
 
 @query("c05_churn_scoring")
 def _scoring(t):
-    members, credits = (df.persist() for df in C.churn_features(tables(t), SALES_DAY))
-    models = fitted(t, members, credits)
-    merged = K.merge_scores(t.scores, C.score_people(members, credits, models), SALES_DAY)
-    return K.changed_tiers(merged, SALES_DAY)
+    everyone = C.people(tables(t), SALES_DAY).persist()
+    return C.score_and_merge(everyone, fitted(everyone), t.scores, SALES_DAY)[1]
 
 
 # --- rule segments ----------------------------------------------------------------------------------------------------

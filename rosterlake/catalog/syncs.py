@@ -158,7 +158,7 @@ def _anti_id(t):
   SELECT DISTINCT reservation_id AS k0 FROM stored WHERE reservation_id IN (SELECT reservation_id FROM landed)""",
        _ctes(_RT, "reservations_report", _RT.names))
 def _existing(t):
-    return I.existing_keys(landed(t, _RT), stored(t, _RT), _RT)
+    return I.existing_keys(landed(t, _RT), stored(t, _RT), _RT).toDF("k0")
 
 
 @query("w03_keep_first", ("first_timers_report",), """

@@ -98,9 +98,13 @@ def reachable(df: DataFrame, as_of: date, last_visit: str = "last_visit_date", d
     return df.where(F.col(last_visit).between(F.date_sub(F.lit(as_of), days), F.lit(as_of)))
 
 
-def credit_population(df: DataFrame, as_of: date, days: int = 90) -> DataFrame:
+def in_credit_population(as_of: date, days: int = 90) -> Column:
     """Credit customers whose last purchase is recent enough to act on."""
-    return df.where((F.col("category") == "credit") & (F.col("last_purchase_date") >= F.date_sub(F.lit(as_of), days)))
+    return (F.col("category") == "credit") & (F.col("last_purchase_date") >= F.date_sub(F.lit(as_of), days))
+
+
+def credit_population(df: DataFrame, as_of: date, days: int = 90) -> DataFrame:
+    return df.where(in_credit_population(as_of, days))
 
 
 def with_email(df: DataFrame, column: str, name: str = "email") -> DataFrame:

@@ -72,26 +72,26 @@ def keep_first(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFr
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
-def first_fetch(df: DataFrame, spec: TableSpec, start: date) -> DataFrame:
-    """All rows of a key from the first window that has it: duplicates inside one fetch stay, later ones go."""
-    keyed = df.withColumn("_window", window_index(spec, start, spec.window_days))
-    names = [f"_key{i}" for i in range(len(spec.keys))]
-    keyed = keyed.withColumns({n: spec.key_value(k) for n, k in zip(names, spec.keys)})
-    first = keyed.groupBy(*names).agg(F.min("_window").alias("_first")).withColumnsRenamed({n: f"{n}_r" for n in names})
-    same = _null_safe([(F.col(n), F.col(f"{n}_r")) for n in names]) & (F.col("_window") == F.col("_first"))
-    return keyed.join(first, same, "left_semi").drop("_window", *names)
+def key_names(spec: TableSpec) -> list[str]:
+    return [f"_key{i}" for i in range(len(spec.keys))]
+
+
+def with_keys(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The key as plain columns. Ranking, semi join and anti join all partition by them, so one shuffle serves all."""
+    return df.withColumns({n: spec.key_value(k) for n, k in zip(key_names(spec), spec.keys)})
 
 
-def _null_safe(pairs: list[tuple[Column, Column]]) -> Column:
-    out = None
-    for a, b in pairs:
-        out = a.eqNullSafe(b) if out is None else out & a.eqNullSafe(b)
-    return out
+def key_frame(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Distinct keys; only the key columns are read, and repeats are merged before the shuffle."""
+    return with_keys(df, spec).select(*key_names(spec)).distinct()
 
 
-def key_frame(df: DataFrame, spec: TableSpec, prefix: str) -> DataFrame:
-    """Distinct keys as text columns ``<prefix>0..n``; only the key columns are read."""
-    return df.select(*[spec.key_value(k).alias(f"{prefix}{i}") for i, k in enumerate(spec.keys)]).distinct()
+def first_fetch(df: DataFrame, spec: TableSpec, start: date) -> DataFrame:
+    """All rows of a key from the first window that has it: duplicates inside one fetch stay, later ones go."""
+    names = key_names(spec)
+    keyed = with_keys(df, spec).withColumn("_window", window_index(spec, start, spec.window_days))
+    first = keyed.groupBy(*names).agg(F.min("_window").alias("_window"))
+    return keyed.join(first, [*names, "_window"], "left_semi").drop("_window", *names)
 
 
 def existing_keys(candidates: DataFrame, stored: DataFrame, spec: TableSpec) -> DataFrame:
@@ -100,24 +100,27 @@ def existing_keys(candidates: DataFrame, stored: DataFrame, spec: TableSpec) ->
     A semi join against the candidates: the candidates of one run are few, so the large stored side is reduced where
     it is read (broadcast or bloom filter, chosen by size) instead of being shuffled.
     """
-    wanted = key_frame(candidates, spec, "c")
-    held = stored.select(*[spec.key_value(k).alias(f"k{i}") for i, k in enumerate(spec.keys)])
-    same = _null_safe([(F.col(f"k{i}"), F.col(f"c{i}")) for i in range(len(spec.keys))])
-    return held.join(wanted, same, "left_semi").distinct()
+    names = key_names(spec)
+    held = with_keys(stored, spec).select(*names)
+    return held.join(key_frame(candidates, spec), names, "left_semi").distinct()
 
 
-def new_rows(source: DataFrame, stored: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows of ``source`` whose key is not stored, null equal to null in every key column."""
-    held = existing_keys(source, stored, spec)
-    same = _null_safe([(spec.key_value(k), F.col(f"k{i}")) for i, k in enumerate(spec.keys)])
-    return source.join(held, same, "left_anti")
+def new_rows(source: DataFrame, stored: DataFrame, spec: TableSpec, candidates: DataFrame | None = None) -> DataFrame:
+    """Rows of ``source`` whose key is not stored, null equal to null in every key column.
+
+    ``candidates`` may name a cheaper frame with the same keys for the lookup.
+    """
+    held = existing_keys(source if candidates is None else candidates, stored, spec)
+    names = key_names(spec)
+    return with_keys(source, spec).join(held, names, "left_anti").drop(*names)
 
 
 def append_rows(batch: DataFrame, stored: DataFrame, spec: TableSpec, order: list[Column] | None = None) -> DataFrame:
     """First row per key of ``batch`` that is not stored. Ties are broken by the whole row."""
+    names = key_names(spec)
     whole_row = [F.col(f"`{c}`") for c in spec.names]
-    first = keep_first(batch, [spec.key_value(k) for k in spec.keys], (order or []) + whole_row)
-    return new_rows(first, stored, spec)
+    first = keep_first(with_keys(batch, spec), [F.col(n) for n in names], (order or []) + whole_row)
+    return first.join(existing_keys(batch, stored, spec), names, "left_anti").drop(*names)
 
 
 def incremental_append(source: DataFrame, stored: DataFrame, spec: TableSpec, span: tuple[date, date],
@@ -132,5 +135,5 @@ def incremental_append(source: DataFrame, stored: DataFrame, spec: TableSpec, sp
     if spec.date_column in spec.keys:
         stored = in_month(stored, spec, *buffered(start, end))
     if strict_reference:
-        return new_rows(first_fetch(batch, spec, start), stored, spec)
+        return new_rows(first_fetch(batch, spec, start), stored, spec, candidates=batch)
     return append_rows(batch, stored, spec, order)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.functions import dates as D
 from rosterlake.operators import activity as A
-from rosterlake.operators.filters import credit_population, reachable
+from rosterlake.operators.filters import credit_population, in_credit_population, reachable
 
 # Tier thresholds per population and the days a credit pack lasts.
 THRESHOLDS = {"membership": (0.55, 0.35), "credit": (0.53, 0.35)}
@@ -64,27 +64,26 @@ def attendance_ratios(df: DataFrame) -> DataFrame:
     })
 
 
-def member_features(people: DataFrame, as_of: date) -> DataFrame:
+def with_member_columns(people: DataFrame, as_of: date) -> DataFrame:
+    """Visits in the last and the prior 60 days, the ratios made of them, and the month as a point on a circle."""
     today = F.lit(as_of)
     month_sin, month_cos = D.month_cycle(today)
     asof_sin, asof_cos = D.month_cycle(F.col("last_visit_date"))
     days = F.col("days")
-    counted = people.where(F.col("category") == "membership").withColumns({
+    return attendance_ratios(people.withColumns({
         "visits_trailing60": A.count_between(days, F.date_sub(today, 60), today),
         "visits_prior60": A.count_between(days, F.date_sub(today, 120), F.date_sub(today, 61)),
         "is_single_visit": F.col("visit_count") == 1,
         "month_sin": month_sin, "month_cos": month_cos, "asof_month_sin": asof_sin, "asof_month_cos": asof_cos,
-    })
-    return attendance_ratios(counted)
+    }))
 
 
-def credit_features(people: DataFrame, as_of: date) -> DataFrame:
-    """Credit customers who bought recently: what is left of the pack, and when it runs out."""
-    scoped = credit_population(people, as_of)
+def with_credit_columns(people: DataFrame, as_of: date) -> DataFrame:
+    """What is left of the last pack, and when it runs out."""
     since = F.datediff(F.lit(as_of), "last_purchase_date")
     used = A.count_between(F.col("days"), F.col("last_purchase_date"), F.lit(as_of))
     left = F.greatest(F.col("last_pack_size") - used, F.lit(0))
-    return scoped.withColumns({
+    return people.withColumns({
         "visits_since_purchase": used,
         "days_since_credit_purchase": since,
         "credits_remaining_est": left,
@@ -95,6 +94,21 @@ def credit_features(people: DataFrame, as_of: date) -> DataFrame:
     })
 
 
+def member_features(people: DataFrame, as_of: date) -> DataFrame:
+    return with_member_columns(people.where(F.col("category") == "membership"), as_of)
+
+
+def credit_features(people: DataFrame, as_of: date) -> DataFrame:
+    """Credit customers who bought recently."""
+    return with_credit_columns(credit_population(people, as_of), as_of)
+
+
+def both_features(people: DataFrame, as_of: date) -> DataFrame:
+    """Members and recent credit customers in one frame with the columns of both: one pass over the people."""
+    in_scope = (F.col("category") == "membership") | in_credit_population(as_of)
+    return with_credit_columns(with_member_columns(people.where(in_scope), as_of), as_of)
+
+
 def membership_signal() -> Column:
     """Why a member is listed. An undefined ratio counts as -1 here too, as it does for the model, so a member
     without visits in the prior period reads as declining."""

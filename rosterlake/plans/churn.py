@@ -33,7 +33,8 @@ def people(t: ChurnTables, as_of: date) -> DataFrame:
 
 
 def churn_features(t: ChurnTables, as_of: date) -> tuple[DataFrame, DataFrame]:
-    """Membership and credit feature tables over one shared set of people."""
+    """Membership and credit feature tables. Persist ``people`` and use the two feature operators when both are
+    needed in one run."""
     everyone = people(t, as_of)
     return S.member_features(everyone, as_of), S.credit_features(everyone, as_of)
 
@@ -71,8 +72,17 @@ def _with_permanence(scored: DataFrame, models: S.Models) -> DataFrame:
 
 
 def churn_scoring(t: ChurnTables, models: S.Models, scores: DataFrame, as_of: date) -> tuple[DataFrame, DataFrame]:
-    """Score table after the run, and the rows that are new or changed in a risk tier."""
-    members, credits = churn_features(t, as_of)
+    """Score table after the run, and the rows that are new or changed in a risk tier.
+
+    The people are kept between the two populations, so purchases and visits are read and grouped once.
+    """
+    everyone = people(t, as_of).persist()
+    return score_and_merge(everyone, models, scores, as_of)
+
+
+def score_and_merge(everyone: DataFrame, models: S.Models, scores: DataFrame, as_of: date
+                    ) -> tuple[DataFrame, DataFrame]:
+    members, credits = S.member_features(everyone, as_of), S.credit_features(everyone, as_of)
     merged = K.merge_scores(scores, score_people(members, credits, models), as_of)
     return merged, K.changed_tiers(merged, as_of)
 

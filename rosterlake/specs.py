@@ -107,10 +107,16 @@ class TableSpec:
         return self.junk() if self.junk else F.lit(True)
 
     def key_value(self, column: str) -> Column:
-        """A key column as text. In text layouts an empty value and a null are the same key."""
-        value = F.col(f"`{column}`").cast("string")
+        """A key column as text that is never null, so that plain equality compares keys and joins can share a shuffle.
+
+        In text layouts an empty value and a null are the same key; in typed layouts a null is a key of its own.
+        """
         text_layout = all(isinstance(f.dataType, T.StringType) for f in self.schema.fields)
-        return F.nullif(value, F.lit("")) if text_layout else value
+        return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit("" if text_layout else NO_VALUE))
+
+
+#: Stands for a null in a key of a typed layout; no stored text holds this character.
+NO_VALUE = "\u0000"
 
 
 def _kinds(headers: tuple[str, ...], default: str, **special: tuple[str, ...]) -> tuple[str, ...]:

@@ -3,34 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
-from rosterlake.operators.incremental import LATE_DAYS, keep_first, new_rows
+from rosterlake.operators.incremental import LATE_DAYS, append_rows, key_names, with_keys
 from rosterlake.sources import tables
 from rosterlake.specs import TableSpec
 
 
 def distinct_stream(stream: DataFrame, spec: TableSpec, late_days: int = LATE_DAYS) -> DataFrame:
     """First row per key. Keys are forgotten ``late_days`` after the watermark passed them, so state stays bounded."""
-    names = [f"_k{i}" for i in range(len(spec.keys))]
-    # a missing key column must still compare, so null becomes an empty text in the state key
-    keyed = stream.withColumns({n: F.coalesce(spec.key_value(k), F.lit("")) for n, k in zip(names, spec.keys)})
-    keyed = keyed.withColumn("_event", spec.day().cast("timestamp")).withWatermark("_event", f"{late_days} days")
-    return keyed.dropDuplicatesWithinWatermark(names).drop("_event", *names)
+    names = key_names(spec)
+    event = with_keys(stream, spec).withColumn("_event", spec.day().cast("timestamp"))
+    return event.withWatermark("_event", f"{late_days} days").dropDuplicatesWithinWatermark(names).drop("_event", *names)
 
 
 def append_batch(batch: DataFrame, path: str, spec: TableSpec) -> None:
     """Append the rows of one micro-batch whose key the table does not hold. Running a batch again adds nothing."""
     spark = batch.sparkSession
-    whole_row = [F.col(f"`{c}`") for c in spec.names]
-    rows = keep_first(batch, [spec.key_value(k) for k in spec.keys], whole_row)
     try:
         stored = spark.read.parquet(path)
     except AnalysisException:  # the first batch finds no table
-        stored = None
-    tables.append(rows if stored is None else new_rows(rows, stored, spec), path, spec)
+        stored = spark.createDataFrame([], spec.schema)
+    tables.append(append_rows(batch, stored, spec), path, spec)
 
 
 def stream_append(stream: DataFrame, spec: TableSpec, path: str, checkpoint: str) -> StreamingQuery:
