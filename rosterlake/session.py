@@ -14,6 +14,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # a generated method above 8000 bytes is not compiled to machine code, which wide rows of 35 to 50 cells reach;
+    # beyond it Spark generates one smaller class per operator instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # collect_set over days keeps small buffers, so hash aggregation can hold more keys before it sorts
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }

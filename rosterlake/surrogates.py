@@ -638,15 +638,32 @@ def with_clause(names: tuple[str, ...], dialect: SparkText | DuckText) -> str:
     return "WITH " + ", ".join(f"{n} AS ({VIEWS[n].text(dialect)})" for n in chain(names))
 
 
-_SCHEMAS: dict[str, StructType] = {}
+@dataclass(frozen=True)
+class Layout:
+    """What is looked up once per table file: its schema, and whether its scan keeps every core busy."""
+
+    schema: StructType
+    spread: bool
+
+
+_LAYOUTS: dict[tuple[str, int], Layout] = {}
+_SPREAD_FROM = 20_000
 
 
 def base_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A test table. Its schema is looked up once per folder, so that later reads need no footer job."""
-    path = f"{folder}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """A test table.
+
+    The test files have one row group each, which is one task however many cores there are. Such a scan is spread over
+    the cores when it is worth it; a table of many files or row groups is read as it is.
+    """
+    path, cores = f"{folder}/{name}.parquet", spark.sparkContext.defaultParallelism
+    if (path, cores) not in _LAYOUTS:
+        found = spark.read.parquet(path)
+        narrow = cores > 1 and found.rdd.getNumPartitions() == 1
+        _LAYOUTS[path, cores] = Layout(found.schema, narrow and found.limit(_SPREAD_FROM).count() == _SPREAD_FROM)
+    layout = _LAYOUTS[path, cores]
+    df = spark.read.schema(layout.schema).parquet(path)
+    return df.repartition(cores) if layout.spread else df
 
 
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
