@@ -9,7 +9,6 @@ from rosterlake.catalog.base import SALES_DAY, Tables, d_email, d_float, d_us, q
 from rosterlake.catalog.scalars import LEGACY_CATEGORY_SQL, PACK_SQL, PLAN_DAYS_SQL, RATE_SQL
 from rosterlake.operators import activity as A
 from rosterlake.operators import filters as P
-from rosterlake.operators import keyed as K
 from rosterlake.operators import scoring as S
 from rosterlake.plans import churn as C
 from rosterlake.plans.lifecycle import count_by

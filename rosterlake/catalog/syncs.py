@@ -170,7 +170,13 @@ def _keep_first(t):
     return I.keep_first(t.first_timers_report, [F.col("customer_id")], order).select("customer_id", "customer", "first_class_date")
 
 
-@query("t03_append_twice_adds_nothing", ("sales_report", "sales_stored"), "SELECT order_number, product_id FROM fresh LIMIT 0",
+@query("t03_append_twice_adds_nothing", ("sales_report", "sales_stored"), """
+  SELECT w.order_number, w.product_id FROM batch AS w WHERE NOT EXISTS (
+    SELECT 1 FROM (SELECT * FROM held UNION ALL SELECT order_number, product_id, variant_id, transaction_date, line_status,
+      line_quantity FROM fresh) AS h
+    WHERE coalesce(h.order_number, '') = coalesce(w.order_number, '') AND coalesce(h.product_id, '') = coalesce(w.product_id, '')
+      AND coalesce(h.variant_id, '') = coalesce(w.variant_id, '') AND coalesce(h.transaction_date, '') = coalesce(w.transaction_date, '')
+      AND coalesce(h.line_status, '') = coalesce(w.line_status, '') AND coalesce(h.line_quantity, '') = coalesce(w.line_quantity, ''))""",
        _ctes(SALES, "sales_report", SALES.names))
 def _twice(t):
     span = (CUT, YESTERDAY)
