@@ -125,9 +125,9 @@ def _chunks(t):
 
 
 _BAD = " OR ".join(f"NOT coalesce({d_strict(c)}, false)" for c in BOOKED.format_columns)
-_FIX = " OR ".join(f"coalesce(({d_loose(c)} OR {d_iso_like(c)}) AND NOT {d_strict(c)}, false)" for c in BOOKED.format_columns)
+_FIX = " OR ".join(f"coalesce(({d_loose(c)} OR {d_iso_like(c)}) AND NOT {d_strict(c)} AND {d_repaired(c)} <> {c}, false)" for c in BOOKED.format_columns)
 _SBAD = " OR ".join(f"NOT coalesce({d_strict(c)}, false)" for c in SALES.format_columns)
-_SFIX = " OR ".join(f"coalesce(({d_loose(c)} OR {d_iso_like(c)}) AND NOT {d_strict(c)}, false)" for c in SALES.format_columns)
+_SFIX = " OR ".join(f"coalesce(({d_loose(c)} OR {d_iso_like(c)}) AND NOT {d_strict(c)} AND {d_repaired(c)} <> {c}, false)" for c in SALES.format_columns)
 
 
 @query("a11_bad_format", BV, f"""
@@ -137,10 +137,10 @@ def _bad(t):
     return Q.bad_format(booked_stored(t), BOOKED, START, END)
 
 
-@query("a12_unparseable_by_parse", SV, """
-  SELECT count(*) AS unparseable FROM stored WHERE order_status <> 'Order Status' AND d IS NULL""", SALES_CTES)
+@query("a12_unparseable_by_parse", ("sales_dups",), f"""
+  SELECT count(*) AS unparseable FROM sales_dups WHERE order_status <> 'Order Status' AND {SALES_DAY} IS NULL""")
 def _unparse(t):
-    return Q.unparseable(sales_stored(t), SALES)
+    return Q.unparseable(t.sales_dups, SALES)
 
 
 @query("a12_unparseable_by_shape", ("reservations_stored",), f"""
@@ -170,22 +170,21 @@ def _repair(t):
     return Q.repair_formats(month, BOOKED).select("reservation_id", *BOOKED.format_columns)
 
 
-@query("a04_full_row_dups", SV, f"""
+@query("a04_full_row_dups", ("sales_dups",), f"""
   SELECT cast(sum(n) AS bigint) AS total_rows, count(*) AS distinct_rows, cast(sum(n) - count(*) AS bigint) AS duplicate_rows
-  FROM (SELECT count(*) AS n FROM stored GROUP BY {SALES_COLUMNS}) AS x""", SALES_CTES)
+  FROM (SELECT count(*) AS n FROM sales_dups GROUP BY {SALES_COLUMNS}) AS x""")
 def _dups(t):
-    return Q.full_row_dups(sales_stored(t))
+    return Q.full_row_dups(t.sales_dups)
 
 
 _KEYS = ", ".join(SALES.keys)
 
 
-@query("a05_key_collisions", SV, f"""
+@query("a05_key_collisions", ("sales_dups",), f"""
   SELECT {_KEYS}, cast(sum(n) AS bigint) AS n_rows, count(*) AS n_distinct
-  FROM (SELECT {SALES_COLUMNS}, count(*) AS n FROM stored GROUP BY {SALES_COLUMNS}) AS x GROUP BY {_KEYS} HAVING count(*) > 1""",
-       SALES_CTES)
+  FROM (SELECT {SALES_COLUMNS}, count(*) AS n FROM sales_dups GROUP BY {SALES_COLUMNS}) AS x GROUP BY {_KEYS} HAVING count(*) > 1""")
 def _collisions(t):
-    return Q.key_collisions(sales_stored(t), list(SALES.keys))
+    return Q.key_collisions(t.sales_dups, list(SALES.keys))
 
 
 @query("u04_drop_exact_dups", SV, f"SELECT DISTINCT {SALES_COLUMNS} FROM fixed", _SFIXED)

@@ -113,7 +113,7 @@ def d_iso_mdy(c: str) -> str:
 
 
 def d_repaired(c: str) -> str:
-    return f"CASE WHEN {d_loose(c)} THEN {d_norm(c)} WHEN {d_iso_like(c)} THEN {d_iso_mdy(c)} ELSE {c} END"
+    return f"coalesce(CASE WHEN {d_loose(c)} THEN {d_norm(c)} WHEN {d_iso_like(c)} THEN {d_iso_mdy(c)} END, {c})"
 
 
 def d_local(c: str) -> str:

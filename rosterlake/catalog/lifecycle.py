@@ -81,7 +81,7 @@ _NEW = {
       FROM bookings AS b LEFT JOIN first_user AS g ON g.e = lower(trim(b.guest_email)) AND {_GUEST}
         LEFT JOIN users AS gu ON gu.user_id = g.user_id LEFT JOIN users AS m ON m.user_id = b.user_id
         LEFT JOIN classes AS k ON k.class_session_id = b.class_session_id""",
-    "today": f"SELECT * FROM marked WHERE status = 'pending' AND cast(start_datetime AS date) BETWEEN {DAY} AND {DAY} + 1",
+    "today": f"SELECT * FROM marked WHERE status = 'pending' AND cast({d_local('start_datetime')} AS date) BETWEEN {DAY} AND {DAY} + 1",
     "good": """SELECT t.*, s.start_datetime AS starts_at FROM today AS t LEFT JOIN sessions AS s ON s.session_id = t.class_session_id
         WHERE reason IS NULL""",
 }

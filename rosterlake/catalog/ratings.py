@@ -64,9 +64,8 @@ def _newest(t):
 
 
 _NAMES = {
-    "top5": """SELECT lower(trim(full_name)) AS k, trim(email) AS email, user_id FROM users WHERE trim(full_name) <> ''
-        QUALIFY row_number() OVER (PARTITION BY lower(trim(full_name)) ORDER BY user_id) <= 5""",
-    "found": f"SELECT k, arg_min(email, user_id) AS email FROM top5 WHERE {d_is_email('email')} GROUP BY k",
+    "named": "SELECT lower(trim(full_name)) AS k, trim(email) AS email, user_id FROM users WHERE trim(full_name) <> ''",
+    "found": f"SELECT k, arg_min(email, user_id) AS email FROM named WHERE {d_is_email('email')} GROUP BY k",
     "resolved": f"""SELECT r.rating_id, CASE WHEN {d_is_email('r.email')} OR trim(coalesce(r.contact, '')) = '' THEN NULL
           WHEN {d_is_email('r.contact')} THEN trim(r.contact) ELSE f.email END AS resolved_email,
         {d_is_email('r.email')} OR trim(coalesce(r.contact, '')) = '' AS skip

@@ -241,13 +241,13 @@ def _first_of(t):
     return t.sessions.select("session_id", X.first_of(F.col("instructor_names")).alias("first"))
 
 
-@query("f37_month_bounds", ("legacy_sales",), f"""
+@query("f37_month_bounds", ("legacy_sales",), """
   SELECT cast(date_trunc('month', d) AS date)::varchar AS month_start, cast(last_day(d) AS varchar) AS month_end,
     cast(cast(date_trunc('month', d) - interval 1 month AS date) AS varchar) AS previous_start, count(*) AS n
-  FROM legacy_sales WHERE d < DATE '{SALES_DAY}' GROUP BY ALL""")
+  FROM legacy_sales GROUP BY ALL""")
 def _f37(t):
     d = F.col("d")
-    df = t.legacy_sales.where(d < F.lit(SALES_DAY)).select(
+    df = t.legacy_sales.select(
         F.trunc(d, "month").alias("month_start"), F.last_day(d).alias("month_end"),
         F.add_months(F.trunc(d, "month"), -1).alias("previous_start"))
     return lifecycle.count_by(df, *df.columns)

@@ -110,22 +110,24 @@ def tolerant_date_any(c: Column) -> Column:
 
 
 def repaired_text(c: Column) -> Column:
-    """The strict text of a repairable date; anything else is left as it is."""
-    return F.when(loose_mdy(c), normalize_mdy(c)).when(iso_like(c), iso_to_mdy(c)).otherwise(c)
+    """The strict text of a repairable date; anything else is left as it is, also what looks like one and is none.
+
+    An ISO date-time keeps its time, which the strict text could not hold.
+    """
+    return F.coalesce(F.when(loose_mdy(c), normalize_mdy(c)).when(iso_like(c), iso_to_mdy(c)), c)
 
 
 def repairable(c: Column) -> Column:
-    """A known variant that is not strict yet."""
+    """A known variant that is not strict yet and that a repair would rewrite."""
     known = loose_mdy(c) | iso_like(c)
-    return F.coalesce(known & ~strict_mdy(c), F.lit(False))
+    return F.coalesce(known & ~strict_mdy(c) & (repaired_text(c) != c), F.lit(False))
 
 
-def day_within(day: Column, start: date, end: date, listed: int = 100) -> Column:
-    """True when ``day`` lies in the closed range. A short range is a list, so a costly ``day`` is computed once."""
-    span = (end - start).days + 1
-    if 0 < span <= listed:
-        return day.isin([start + timedelta(days=i) for i in range(span)])
-    return day.between(F.lit(start), F.lit(end))
+def day_within(day: Column, start: date, end: date) -> Column:
+    """True when ``day`` lies in the closed range. One comparison, so that a costly ``day`` is computed once."""
+    last = (end - start).days
+    # 0 <= x <= last, written as one distance from the middle
+    return F.abs(F.datediff(day, F.lit(start)) * 2 - last) <= last
 
 
 def parse_date_any(c: Column, formats: tuple[str, ...] = ("yyyy-MM-dd", "M/d/yyyy", "MMM d, yyyy")) -> Column:

@@ -36,10 +36,11 @@ def upsert_customers(current: DataFrame, people: DataFrame, order: str = "reserv
     """Customers after an upsert on (lower-case e-mail, not a duplicate).
 
     Matched rows take the new name and the lower-case e-mail, unmatched people become rows, rows marked as
-    duplicates are never touched. New rows are keyed by their e-mail.
+    duplicates are never touched, and neither are rows whose mark is missing. New rows are keyed by their e-mail.
     """
+    own = F.col("dupe").eqNullSafe(F.lit("No"))
     fresh = latest_names(people, order).withColumnRenamed("name", "new_name")
-    joined = current.where("dupe = 'No'").join(fresh, "email_lower", "full_outer")
+    joined = current.where(own).join(fresh, "email_lower", "full_outer")
     merged = joined.select(
         F.coalesce(F.col("customer_id"), F.concat(F.lit("new:"), F.col("email_lower"))).alias("customer_id"),
         F.col("email_lower"),
@@ -48,7 +49,7 @@ def upsert_customers(current: DataFrame, people: DataFrame, order: str = "reserv
         F.lit("No").alias("dupe"),
         *[c for c in current.columns if c not in ("customer_id", "email_lower", "email", "name", "dupe")],
     )
-    return merged.unionByName(current.where("dupe <> 'No'").select(*merged.columns))
+    return merged.unionByName(current.where(~own).select(*merged.columns))
 
 
 def replace_children(existing: DataFrame, fresh: DataFrame, parents: DataFrame, key: str) -> DataFrame:
@@ -120,16 +121,15 @@ def changed_tiers(scores: DataFrame, as_of: date) -> DataFrame:
 
 
 def guarded_delete(df: DataFrame, doomed: DataFrame, keys: Sequence[str], cap: int = DELETE_CAP) -> DataFrame:
-    """``df`` without the doomed keys; refuses when there are more than ``cap`` of them.
+    """``df`` without the doomed keys; refuses when that would delete more than ``cap`` rows.
 
-    The count looks at no more than ``cap + 1`` rows. The list that passed it is at most ``cap`` keys, so it is
-    broadcast and the table is rewritten without a shuffle.
+    The count looks at no more than ``cap + 1`` rows of ``df``. How the keys are joined is left to their size.
     """
-    listed = doomed.select(*keys)
-    found = listed.limit(cap + 1).count()
+    listed = doomed.select(*keys).distinct()
+    found = df.join(listed, list(keys), "left_semi").limit(cap + 1).count()
     if found > cap:
         raise TooManyRows(f"refusing to delete more than {cap} rows; check what selects them")
-    return df.join(F.broadcast(listed.distinct()), list(keys), "left_anti")
+    return df.join(listed, list(keys), "left_anti")
 
 
 def outcomes(df: DataFrame, column: str = "outcome") -> DataFrame:

@@ -66,21 +66,17 @@ def match_sessions(requests: DataFrame, sessions: DataFrame, minutes: int = 2) -
     )
 
 
-def first_valid_email(users: DataFrame, top: int = 5) -> DataFrame:
-    """Per normalised full name: the first valid e-mail among the first ``top`` users by id.
+def first_valid_email(users: DataFrame) -> DataFrame:
+    """Per normalised full name: the valid e-mail of the smallest user id that has one.
 
-    The rank limit is applied inside every map task, so a name that millions share is cut to ``top`` rows per task.
+    Partial minima are built before the shuffle, so a name that millions share is one row a task.
     """
     named = users.select("user_id", X.norm_name(F.col("full_name")).alias("name_key"), F.trim("email").alias("email"))
-    ranked = named.where(F.col("name_key").isNotNull()).withColumn(
-        "pos", F.row_number().over(Window.partitionBy("name_key").orderBy("user_id"))
-    ).where(F.col("pos") <= top)
-    return ranked.where(X.is_email(F.col("email"))).groupBy("name_key").agg(
-        F.min_by("email", "pos").alias("found_email")
-    )
+    usable = named.where(F.col("name_key").isNotNull() & X.is_email(F.col("email")))
+    return usable.groupBy("name_key").agg(F.min_by("email", "user_id").alias("found_email"))
 
 
-def resolve_email(ratings: DataFrame, users: DataFrame, top: int = 5) -> DataFrame:
+def resolve_email(ratings: DataFrame, users: DataFrame) -> DataFrame:
     """Ratings with ``resolved_email`` and an ``outcome``: skipped, updated or not found.
 
     A rating with a valid e-mail or without a contact is skipped; a contact that is an e-mail already is used as it
@@ -90,7 +86,7 @@ def resolve_email(ratings: DataFrame, users: DataFrame, top: int = 5) -> DataFra
     has_email, bare = X.is_email(F.col("email")), contact == ""
     look = ~has_email & ~bare & ~X.is_email(contact)
     keyed = ratings.withColumn("name_key", F.when(look, X.norm_name(contact)))
-    joined = keyed.join(first_valid_email(users, top), "name_key", "left")
+    joined = keyed.join(first_valid_email(users), "name_key", "left")
     resolved = F.when(has_email | bare, None).when(X.is_email(contact), contact).otherwise(F.col("found_email"))
     return (
         joined.withColumn("resolved_email", resolved)

@@ -93,29 +93,24 @@ def _as_metrics(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def failed_audit(stored: DataFrame, spec: TableSpec, error: str) -> DataFrame:
-    """Counter row of a table whose audit failed; the other tables go on."""
-    row = stored.sparkSession.range(1)
-    zeros = [F.lit(0).cast("bigint").alias(c) for c in Q.COUNTERS]
-    return row.select(F.lit(spec.name).alias("table_name"), *zeros, F.lit(error).alias("error"))
-
-
 def monthly_audit(inputs: list[tuple[TableSpec, DataFrame, DataFrame]], month: str, today: date
                   ) -> tuple[dict[str, Audit], DataFrame]:
-    """Audit several tables for one finished month. A table whose plan cannot be built is reported as failed."""
+    """Audit several tables for one finished month. A table whose audit fails, when it is planned or when it runs, is
+    reported as failed and the others go on. The counters of each table, one row, are taken here."""
     from rosterlake.functions.dates import audit_month
 
     start, end = audit_month(month, today)
     audits, rows = {}, []
+    spark = inputs[0][1].sparkSession
     for spec, stored, source in inputs:
         try:
-            audits[spec.name] = audit_table(stored, source, spec, start, end)
-            rows.append(audits[spec.name].counters)
-        except Exception as error:  # a missing column or type clash of one table must not stop the rest
-            rows.append(failed_audit(stored, spec, str(error).splitlines()[0]))
-    results = rows[0]
-    for row in rows[1:]:
-        results = results.unionByName(row)
+            found = audit_table(stored, source, spec, start, end)
+            rows.append(tuple(found.counters.first()))
+            audits[spec.name] = found
+        except Exception as error:  # a missing column, a changed header or an unreadable file of one table
+            rows.append((spec.name, *[0] * len(Q.COUNTERS), str(error).splitlines()[0]))
+    cells = ", ".join(f"{c} bigint" for c in Q.COUNTERS)
+    results = spark.createDataFrame(rows, f"table_name string, {cells}, error string")
     return audits, Q.audit_summary(results, (end - start).days + 1)
 
 
@@ -142,8 +137,3 @@ def apply_audit(spec: TableSpec, path: str, source: DataFrame, month: str, today
     if numbers["backfilled_rows"]:
         tables.append(filled, path, spec)
     return counters
-
-
-def clean_rows(stored: DataFrame, spec: TableSpec, start: date, end: date) -> DataFrame:
-    """The repaired rows of the month without junk: what reports should read."""
-    return drop_junk(repaired_month(stored, spec, start, end), spec)

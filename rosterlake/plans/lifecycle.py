@@ -76,7 +76,7 @@ def new_people(bookings: DataFrame, users: DataFrame, classes: DataFrame) -> Dat
     guests = ids.join(people.withColumnRenamed("user_id", "guest_user_id").drop("email"), "guest_user_id").select(
         F.col("email_key").alias("guest_key"), "guest_user_id", *[F.col(c).alias(f"g_{c}") for c in contact]
     )
-    known = classes.select(F.col("class_session_id"), F.col("class_record_id")).dropDuplicates(["class_session_id"])
+    known = classes.groupBy("class_session_id").agg(F.min("class_record_id").alias("class_record_id"))
     is_guest = F.coalesce(F.col("guest_email"), F.lit("")) != ""
     joined = (
         tagged.withColumn("guest_key", F.when(is_guest, F.lower(F.trim("guest_email"))))
@@ -105,10 +105,10 @@ def new_people_today(bookings: DataFrame, users: DataFrame, sessions: DataFrame,
                      customers: DataFrame, day: date) -> tuple[DataFrame, DataFrame]:
     """Customers to patch or create for the day's new people, and the skipped bookings with their reasons.
 
-    The day's bookings are pending ones on the day or the next. Non-null values are put over the customer's fields;
+    The day's bookings are pending ones that start on the day or the next where the studios are. Non-null values are put over the customer's fields;
     of several bookings of one person the last one wins.
     """
-    at = F.to_date("start_datetime")
+    at = D.utc_to_local_date(F.col("start_datetime"))
     today = bookings.where((F.col("status") == "pending") & at.between(F.lit(day), F.date_add(F.lit(day), 1)))
     marked = new_people(today, users, classes)
     starts = sessions.select(F.col("session_id").alias("class_session_id"), F.col("start_datetime").alias("starts_at"))

@@ -105,10 +105,10 @@ def import_ratings(spark: SparkSession, path: str, existing: DataFrame, mapping:
     )
 
 
-def resolve_rating_emails(ratings: DataFrame, users: DataFrame, clients: DataFrame, top: int = 5
+def resolve_rating_emails(ratings: DataFrame, users: DataFrame, clients: DataFrame
                           ) -> tuple[DataFrame, DataFrame]:
     """Unlinked ratings with e-mail, outcome and client, and the clients to create."""
-    resolved = N.resolve_email(P.needs_email(ratings), users, top)
+    resolved = N.resolve_email(P.needs_email(ratings), users)
     linked, created = K.link_or_create(
         resolved.drop("email").withColumnRenamed("resolved_email", "email"), clients
     )

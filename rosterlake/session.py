@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,16 +36,18 @@ def build_session(app: str = "rosterlake", master: str | None = None, **extra: s
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a local one only when none is set on a local master."""
+    """The shared checkpoint folder the cluster names. Where none is set and driver and executors are one process, as in
+    tests, a folder is made once for the session; on a cluster it must be set."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return os.path.join(tempfile.mkdtemp(prefix="rosterlake-"), "checkpoints")
+    spark.sparkContext.setCheckpointDir(os.path.join(tempfile.mkdtemp(prefix="rosterlake-"), "checkpoints"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

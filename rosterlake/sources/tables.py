@@ -24,10 +24,6 @@ class TooManyRows(RuntimeError):
     """A delete would remove more rows than its cap allows."""
 
 
-def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-
-
 def month_of(day: Column) -> Column:
     return F.coalesce(F.date_format(day, "yyyy-MM"), F.lit(NO_MONTH))
 
@@ -64,20 +60,36 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).parquet(path)
 
 
+def _checked(df: DataFrame, expected: int | None, name: str) -> tuple[DataFrame, int]:
+    """A staged copy and its row count, refused when it is not the expected one."""
+    staged = cut_lineage(df)
+    found = staged.count()
+    if expected is not None and found != expected:
+        raise RowCountMismatch(f"{name}: staged {found} rows, expected {expected}; nothing was replaced")
+    return staged, found
+
+
+def rewrite_months(df: DataFrame, path: str, emptied: list[str], expected: int | None = None) -> int:
+    """Replace the months that ``df`` holds and remove the ``emptied`` ones, from a staged copy with a checked count."""
+    staged, found = _checked(df, expected, path)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    spark = df.sparkSession
+    for month in emptied:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MONTH}={month}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return found
+
+
 def replace_months(df: DataFrame, path: str, spec: TableSpec, expected: int | None = None) -> int:
     """Replace exactly the months that ``df`` holds, from a staged copy with a checked row count.
 
     The copy is written before anything is replaced, so ``df`` may be computed from the same folder, and a wrong
     count leaves the table as it was.
     """
-    staged = cut_lineage(df if MONTH in df.columns else with_month(df, spec))
-    found = staged.count()
-    if expected is not None and found != expected:
-        raise RowCountMismatch(f"{spec.name}: staged {found} rows, expected {expected}; nothing was replaced")
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path))
-    return found
+    return rewrite_months(df if MONTH in df.columns else with_month(df, spec), path, [], expected)
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Rewrite a whole table from a staged copy; ``df`` may read the same folder."""
-    cut_lineage(df).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+def replace_table(df: DataFrame, path: str, expected: int | None = None) -> None:
+    """Rewrite a whole table from a staged copy with a checked row count; ``df`` may read the same folder."""
+    staged, _ = _checked(df, expected, path)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)

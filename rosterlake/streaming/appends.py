@@ -3,39 +3,45 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
-from rosterlake.operators.incremental import LATE_DAYS, append_rows, key_names, with_keys
+from rosterlake.operators.filters import in_month
+from rosterlake.operators.incremental import append_rows, buffered
+from rosterlake.session import cut_lineage
 from rosterlake.sources import tables
 from rosterlake.specs import TableSpec
 
 
-def distinct_stream(stream: DataFrame, spec: TableSpec, late_days: int = LATE_DAYS) -> DataFrame:
-    """First row per key. Keys are forgotten ``late_days`` after the watermark passed them, so state stays bounded."""
-    names = key_names(spec)
-    event = with_keys(stream, spec).withColumn("_event", spec.day().cast("timestamp"))
-    return event.withWatermark("_event", f"{late_days} days").dropDuplicatesWithinWatermark(names).drop("_event", *names)
-
-
 def append_batch(batch: DataFrame, path: str, spec: TableSpec) -> None:
-    """Append the rows of one micro-batch whose key the table does not hold. Running a batch again adds nothing."""
+    """Append the rows of one micro-batch whose key the table does not hold. Running a batch again adds nothing.
+
+    Of equal keys in a batch the first whole row stays. The batch is written once before it is looked at twice. Where
+    the key holds the day, only the stored months around the days of the batch are read (its span, one row, comes to
+    the driver); a batch with a day that cannot be read looks everywhere.
+    """
     spark = batch.sparkSession
+    held = cut_lineage(batch)
     try:
         stored = spark.read.parquet(path)
     except AnalysisException:  # the first batch finds no table
         stored = spark.createDataFrame([], spec.schema)
-    tables.append(append_rows(batch, stored, spec), path, spec)
+    if spec.date_column in spec.keys:
+        span = held.agg(F.min(spec.day()), F.max(spec.day()), F.count_if(spec.day().isNull())).first()
+        if span[0] is not None and not span[2]:
+            stored = in_month(stored, spec, *buffered(span[0], span[1]))
+    tables.append(append_rows(held, stored, spec), path, spec)
 
 
 def stream_append(stream: DataFrame, spec: TableSpec, path: str, checkpoint: str) -> StreamingQuery:
     """Start the stream over what has landed, and stop when that is done.
 
-    The watermark drops repeats of the last days; what comes later than that is held back by the table itself.
+    The table itself says which keys are new, however late they come: a watermark in front of it would drop late rows
+    that were never stored. The stream keeps no state of its own.
     """
     return (
-        distinct_stream(stream, spec)
-        .writeStream.foreachBatch(lambda batch, _: append_batch(batch, path, spec))
+        stream.writeStream.foreachBatch(lambda batch, _: append_batch(batch, path, spec))
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)

@@ -4,18 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+
+def _pending(bookings: DataFrame) -> DataFrame:
+    return bookings.where((F.col("status") == "pending") & (F.col("reservation_type") == "standard"))
 
 
 def hourly_windows(bookings: DataFrame, at: str = "start_datetime", late: str = "3 hours") -> DataFrame:
     """Pending standard bookings per hour of class start; a window is final once the watermark passed it."""
-    kept = bookings.where((F.col("status") == "pending") & (F.col("reservation_type") == "standard"))
     hour = F.window(at, "1 hour")
-    return kept.withWatermark(at, late).groupBy(hour).agg(F.count(F.lit(1)).alias("n")).select(
+    return _pending(bookings).withWatermark(at, late).groupBy(hour).agg(F.count(F.lit(1)).alias("n")).select(
         F.col("window.start").alias("hour"), "n"
     )
 
 
+def write_hours(bookings: DataFrame, path: str, checkpoint: str, at: str = "start_datetime") -> StreamingQuery:
+    """Keep a table of all hours up to date, the ones that are still open too. Nothing is ever too late: the state is one
+    count for each hour of the calendar, and the table is written anew after each batch."""
+    hour = F.window(at, "1 hour")
+    counts = _pending(bookings).groupBy(hour).agg(F.count(F.lit(1)).alias("n")).select(F.col("window.start").alias("hour"), "n")
+    return (
+        counts.writeStream.outputMode("complete")
+        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def reminder_stream(bookings: DataFrame, late: str = "3 hours") -> DataFrame:
     """Each pending booking once, however often it is delivered; the checkpoint remembers which ones went out."""
-    kept = bookings.where((F.col("status") == "pending") & (F.col("reservation_type") == "standard"))
-    return kept.withWatermark("start_datetime", late).dropDuplicatesWithinWatermark(["reservation_id"])
+    return _pending(bookings).withWatermark("start_datetime", late).dropDuplicatesWithinWatermark(["reservation_id"])

@@ -12,7 +12,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 from rosterlake.specs import RESERVATIONS_TEXT, SALES_TEXT
 
@@ -279,7 +278,10 @@ def _reservations_stored(d) -> str:
         c: _messy(f"substr({c}, 1, 10)", f"({row} + {shift})", 2)
         for shift, c in enumerate(("class_start_date", "creation_date", "updated_date"))
     }
-    messy["cancelled_date"] = f"coalesce({_messy('substr(cancelled_date, 1, 10)', row, 2)}, '')"
+    # date-times and days that do not exist are left as they are by a repair
+    cancelled = _messy('substr(cancelled_date, 1, 10)', row, 2)
+    messy["cancelled_date"] = (f"CASE WHEN {row} % 53 = 7 THEN '2024-01-09T10:00:00Z' WHEN {row} % 53 = 8 THEN '2024-13-45' "
+                               f"ELSE coalesce({cancelled}, '') END")
     return f"SELECT {_replace(RESERVATIONS_TEXT.names, **messy)} FROM reservations_report"
 
 
@@ -401,15 +403,21 @@ def _users(d) -> str:
       FROM {d.table('customer')}"""
 
 
+def _moved(k: str, stays: str) -> str:
+    """The address of a key where ``stays`` holds, and one that no other view has elsewhere."""
+    return f"CASE WHEN {stays} THEN {_address(k)} ELSE 'moved.' || {_address(k)} END"
+
+
 def _op_customers(d) -> str:
     k = "c_custkey"
+    mail = _moved(k, "c_mktsegment IN ('BUILDING', 'HOUSEHOLD', 'MACHINERY')")
     return f"""
-      SELECT 'rec' || {_text(k)} AS customer_id, {_address(k)} AS email, {_address(k)} AS email_lower,
+      SELECT 'rec' || {_text(k)} AS customer_id, {mail} AS email, {mail} AS email_lower,
         'Old Name ' || {_text(k)} AS name, CASE WHEN {k} % 10 = 0 THEN 'Yes' ELSE 'No' END AS dupe,
         CASE WHEN {k} % 4 = 0 THEN 'note' || {_text(k)} END AS measurement_note_id,
         CASE WHEN {k} % 3 = 0 THEN 0 ELSE 1 END AS first_class_taken,
         CASE WHEN {k} % 5 = 0 THEN 1 ELSE 0 END AS second_class_taken
-      FROM {d.table('customer')} WHERE c_mktsegment IN ('BUILDING', 'HOUSEHOLD', 'MACHINERY')"""
+      FROM {d.table('customer')}"""
 
 
 def _credits(d) -> str:
@@ -460,9 +468,9 @@ def _ratings_stored(d) -> str:
 
 def _clients(d) -> str:
     return f"""
-      SELECT n AS client_id, CASE WHEN n % 4 = 0 THEN upper({_address('c_custkey')}) ELSE {_address('c_custkey')} END AS email
-      FROM (SELECT c_custkey, c_custkey AS n FROM {d.table('customer')} WHERE c_acctbal >= 3000
-            UNION ALL SELECT c_custkey, c_custkey + 1000000000 AS n FROM {d.table('customer')} WHERE c_acctbal >= 8000) AS c"""
+      SELECT n AS client_id, CASE WHEN n % 4 = 0 THEN upper(mail) ELSE mail END AS email
+      FROM (SELECT {_moved('c_custkey', 'c_acctbal >= 3000')} AS mail, c_custkey AS n FROM {d.table('customer')}
+            UNION ALL SELECT {_address('c_custkey')} AS mail, c_custkey + 1000000000 AS n FROM {d.table('customer')} WHERE c_acctbal >= 8000) AS c"""
 
 
 def _details(d) -> str:
@@ -561,26 +569,27 @@ def _spots(d) -> str:
 def _scores(d) -> str:
     k = "c_custkey"
     return f"""
-      SELECT {_address(k)} AS email, CASE WHEN {k} % 2 = 0 THEN 'membership' ELSE 'credit' END AS population,
+      SELECT {_moved(k, "c_mktsegment <> 'HOUSEHOLD'")} AS email, CASE WHEN {k} % 2 = 0 THEN 'membership' ELSE 'credit' END AS population,
         'First' || {_text(f'{k} % 100')} AS first_name, cast(NULL AS string) AS last_name,
         {_text(k)} AS booking_customer_id, {d.add_days("DATE '2001-01-01'", f'{k} % 150')} AS last_visit_date,
         cast({k} % 100 AS double) / 100 AS churn_prob, cast(NULL AS double) AS likely_permanent_prob,
         CASE WHEN {k} % 100 >= 55 THEN 'Critical' WHEN {k} % 100 >= 35 THEN 'Watch' ELSE 'OK' END AS tier,
         CASE WHEN {k} % 3 = 0 THEN 'OK' END AS previous_tier, 'Attendance pattern' AS key_signal,
         DATE '2001-06-23' AS updated_date
-      FROM {d.table('customer')} WHERE c_mktsegment <> 'HOUSEHOLD'"""
+      FROM {d.table('customer')}"""
 
 
 def _score_batch(d) -> str:
     k = "c_custkey"
     p = f"cast(({k} * 7) % 100 AS double) / 100"
     return f"""
-      SELECT {_address(k)} AS email, CASE WHEN {k} % 2 = 0 THEN 'membership' ELSE 'credit' END AS population,
+      SELECT CASE WHEN c_mktsegment <> 'BUILDING' THEN {_address(k)} ELSE 'new.' || {_address(k)} END AS email,
+        CASE WHEN {k} % 2 = 0 THEN 'membership' ELSE 'credit' END AS population,
         'First' || {_text(f'{k} % 100')} AS first_name, 'Last' || {_text(f'{k} % 300')} AS last_name,
         {_text(k)} AS booking_customer_id, {d.add_days("DATE '2001-01-01'", f'{k} % 180')} AS last_visit_date,
         {p} AS churn_prob, CASE WHEN {k} % 2 = 0 THEN {p} / 2 END AS likely_permanent_prob,
         'No visits in 30 days' AS key_signal
-      FROM {d.table('customer')} WHERE c_mktsegment <> 'BUILDING'"""
+      FROM {d.table('customer')}"""
 
 
 VIEWS: dict[str, View] = {
@@ -638,32 +647,9 @@ def with_clause(names: tuple[str, ...], dialect: SparkText | DuckText) -> str:
     return "WITH " + ", ".join(f"{n} AS ({VIEWS[n].text(dialect)})" for n in chain(names))
 
 
-@dataclass(frozen=True)
-class Layout:
-    """What is looked up once per table file: its schema, and whether its scan keeps every core busy."""
-
-    schema: StructType
-    spread: bool
-
-
-_LAYOUTS: dict[tuple[str, int], Layout] = {}
-_SPREAD_FROM = 20_000
-
-
 def base_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A test table.
-
-    The test files have one row group each, which is one task however many cores there are. Such a scan is spread over
-    the cores when it is worth it; a table of many files or row groups is read as it is.
-    """
-    path, cores = f"{folder}/{name}.parquet", spark.sparkContext.defaultParallelism
-    if (path, cores) not in _LAYOUTS:
-        found = spark.read.parquet(path)
-        narrow = cores > 1 and found.rdd.getNumPartitions() == 1
-        _LAYOUTS[path, cores] = Layout(found.schema, narrow and found.limit(_SPREAD_FROM).count() == _SPREAD_FROM)
-    layout = _LAYOUTS[path, cores]
-    df = spark.read.schema(layout.schema).parquet(path)
-    return df.repartition(cores) if layout.spread else df
+    """A test table as it lies."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
