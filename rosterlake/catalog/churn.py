@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Matrices, Vectors
 from pyspark.sql import functions as F
 
 from rosterlake import specs
@@ -12,6 +16,7 @@ from rosterlake.operators import filters as P
 from rosterlake.operators import scoring as S
 from rosterlake.plans import churn as C
 from rosterlake.plans.lifecycle import count_by
+from rosterlake.session import cut_lineage
 
 AS_OF = f"DATE '{SALES_DAY}'"
 RESERVATIONS = specs.RESERVATIONS_TYPED
@@ -274,7 +279,7 @@ query("c05_churn_features_with_tiers", ALL,
       + _flag_sql("credits_f", "credit", "0.53::double", CREDIT_SIGNAL), CTES)(flagship)
 
 
-# --- models: rows-only checks ---------------------------------------------------------------------------------------
+# --- models ---------------------------------------------------------------------------------------------------------
 
 
 def fitted(everyone) -> S.Models:
@@ -290,23 +295,87 @@ def fitted(everyone) -> S.Models:
     )
 
 
-@query("m01_m04_fit_and_score")
-def _score(t):
-    everyone = C.people(tables(t), SALES_DAY).persist()
+#: Coefficients that the scoring is checked with, by input, and the intercept.
+MEMBER_WEIGHTS = ((0.01, -0.02, -0.3, -0.1, -0.4, 0.5, -0.6, 0.2, -0.2), 0.7)
+CREDIT_WEIGHTS = ((0.008, -0.03, -0.05, 0.02, 0.04, 0.3, 0.2, -0.01, 0.6), -1.1)
+RETURN_WEIGHTS = ((0.02, 0.5, 0.5, -0.3, 0.4, 0.6, -0.5), -2.0)
+
+
+def _known(spark, inputs: tuple[str, ...], weights: tuple[tuple[float, ...], float]) -> PipelineModel:
+    """A classifier with given coefficients: a fit whose bounds leave one answer."""
+    rows = spark.createDataFrame([(float(i % 2), *[float(i * (k + 2) % 11) for k in range(len(inputs))]) for i in range(64)],
+                                 ", ".join(["label double", *[f"in_{c} double" for c in inputs]]))
+    only, base = Matrices.dense(1, len(inputs), list(weights[0])), Vectors.dense([weights[1]])
+    fit = LogisticRegression(maxIter=5, standardization=False, lowerBoundsOnCoefficients=only, upperBoundsOnCoefficients=only,
+                             lowerBoundsOnIntercepts=base, upperBoundsOnIntercepts=base)
+    return Pipeline(stages=[VectorAssembler(inputCols=[f"in_{c}" for c in inputs], outputCol="features"), fit]).fit(rows)
+
+
+def known(spark) -> S.Models:
+    return S.Models(_known(spark, S.MEMBERSHIP_INPUTS, MEMBER_WEIGHTS), _known(spark, S.CREDIT_INPUTS, CREDIT_WEIGHTS),
+                    _known(spark, S.RETURN_INPUTS, RETURN_WEIGHTS))
+
+
+def _logistic(inputs: tuple[str, ...], weights: tuple[tuple[float, ...], float], **instead: str) -> str:
+    parts = [f"{w!r}::double * coalesce(cast({instead.get(c, c)} AS double), -1)" for c, w in zip(inputs, weights[0])]
+    return f"1 / (1 + exp(-({weights[1]!r}::double + {' + '.join(parts)})))"
+
+
+_STAY = dict(visits_trailing60="0", visits_prior60="0", month_sin="asof_month_sin", month_cos="asof_month_cos")
+
+
+def _tiered(population: str) -> str:
+    critical, watch = S.THRESHOLDS[population]
+    return f"CASE WHEN p >= {critical}::double THEN 'Critical' WHEN p >= {watch}::double THEN 'Watch' ELSE 'OK' END"
+
+
+SCORED = {
+    **CTES,
+    "member_p": f"""SELECT email, {_logistic(S.MEMBERSHIP_INPUTS, MEMBER_WEIGHTS)} AS p,
+        {_logistic(S.RETURN_INPUTS, RETURN_WEIGHTS, **_STAY)} AS stay FROM members""",
+    "credit_p": f"SELECT email, {_logistic(S.CREDIT_INPUTS, CREDIT_WEIGHTS)} AS p FROM credits_f",
+    "batch": f"""SELECT email, 'membership' AS population, p, stay, {_tiered('membership')} AS tier FROM member_p
+        UNION ALL SELECT email, 'credit', p, NULL, {_tiered('credit')} FROM credit_p""",
+}
+_LEVEL = "CASE {} WHEN 'OK' THEN 0 WHEN 'Watch' THEN 1 WHEN 'Critical' THEN 2 END"
+
+
+def _everyone(t):
+    return cut_lineage(C.people(tables(t), SALES_DAY))
+
+
+@query("m04_fit_and_score")
+def _fit(t):
+    everyone = _everyone(t)
     models = fitted(everyone)
     return C.score_people(S.member_features(everyone, SALES_DAY), S.credit_features(everyone, SALES_DAY), models)
 
 
-@query("m03_score_return")
+@query("m01_m02_score", ALL, """
+  SELECT email, population, round(p, 6) AS churn_prob, round(stay, 6) AS likely_permanent_prob, tier FROM batch""", SCORED)
+def _score(t):
+    everyone = _everyone(t)
+    batch = C.score_people(S.member_features(everyone, SALES_DAY), S.credit_features(everyone, SALES_DAY), known(t.spark))
+    named = batch.withColumn("tier", F.when(F.col("population") == "membership", S.tier_of("membership", F.col("churn_prob")))
+                             .otherwise(S.tier_of("credit", F.col("churn_prob"))))
+    return named.select("email", "population", "churn_prob", "likely_permanent_prob", "tier")
+
+
+@query("m03_score_return", ALL, "SELECT email, round(stay, 6) AS likely_permanent_prob FROM member_p", SCORED)
 def _score_return(t):
-    everyone = C.people(tables(t), SALES_DAY).persist()
-    return S.score_return(S.member_features(everyone, SALES_DAY), fitted(everyone).permanence)
+    scored = S.score_return(S.member_features(_everyone(t), SALES_DAY), known(t.spark).permanence)
+    return scored.select("email", "likely_permanent_prob")
 
 
-@query("c05_churn_scoring")
+@query("c05_churn_scoring", (*ALL, "scores"), f"""
+  SELECT b.email, b.population, round(b.p, 6) AS churn_prob, round(b.stay, 6) AS likely_permanent_prob, b.tier, s.tier AS previous_tier,
+    CASE WHEN s.tier IS NULL THEN 'New' ELSE s.tier || ' -> ' || b.tier END AS tier_change,
+    CASE WHEN s.tier IS NULL THEN 'new' WHEN {_LEVEL.format('b.tier')} > {_LEVEL.format('s.tier')} THEN 'up' ELSE 'down' END AS direction
+  FROM batch AS b LEFT JOIN scores AS s ON s.email = b.email AND s.population = b.population
+  WHERE b.tier IN ('Critical', 'Watch') AND s.tier IS DISTINCT FROM b.tier""", SCORED)
 def _scoring(t):
-    everyone = C.people(tables(t), SALES_DAY).persist()
-    return C.score_and_merge(everyone, fitted(everyone), t.scores, SALES_DAY)[1]
+    changed = C.churn_scoring(tables(t), known(t.spark), t.scores, SALES_DAY)[1]
+    return changed.select("email", "population", "churn_prob", "likely_permanent_prob", "tier", "previous_tier", "tier_change", "direction")
 
 
 # --- rule segments ----------------------------------------------------------------------------------------------------

@@ -15,6 +15,9 @@ LOCAL_TZ = "America/Toronto"
 # The shapes a stored date text can have.
 STRICT_MDY = r"^\d{2}/\d{2}/\d{4}$"
 LOOSE_MDY = r"^\s*\d{1,2}/\s*\d{1,2}/\d{4}\s*$"
+MDY_MONTH = r"^\s*(\d{1,2})/"
+MDY_DAY = r"/\s*(\d{1,2})/"
+MDY_YEAR = r"/(\d{4})\s*$"
 MDY_PARTS = r"(?s)^\s*(\d{1,2})(?=/).*?/\s*(\d{1,2})/(?:.*/)?(\d{4})\s*$"
 ISO_PREFIX = r"^\d{4}-\d{2}-\d{2}"
 ZONE_OFFSETS = {"UTC": "+00:00", "GMT": "+00:00", "EST": "-05:00", "EDT": "-04:00"}
@@ -83,8 +86,8 @@ def iso_like(c: Column) -> Column:
 
 def normalize_mdy(c: Column) -> Column:
     """Padded, unpadded and space-padded US dates -> ``MM/DD/YYYY``; null for every other shape."""
-    zeroed = F.regexp_replace(c, MDY_PARTS, "0$1/0$2/$3")
-    return F.when(c.rlike(MDY_PARTS), F.regexp_replace(zeroed, r"0(\d{2})/", "$1/"))
+    month, day, year = _part(c, MDY_MONTH), _part(c, MDY_DAY), _part(c, MDY_YEAR)
+    return F.concat(F.lpad(month, 2, "0"), F.lit("/"), F.lpad(day, 2, "0"), F.lit("/"), year)
 
 
 def iso_to_mdy(c: Column) -> Column:

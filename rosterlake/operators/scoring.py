@@ -168,6 +168,16 @@ def fit_churn(training: DataFrame, inputs: tuple[str, ...], label: str = "label"
     return Pipeline(stages=[assembler, fit]).fit(model_inputs(training, inputs))
 
 
+def save_models(models: Models, folder: str) -> None:
+    """Store the three classifiers, one folder each; earlier ones are replaced."""
+    for name in ("membership", "credit", "permanence"):
+        getattr(models, name).write().overwrite().save(f"{folder.rstrip('/')}/{name}")
+
+
+def load_models(folder: str) -> Models:
+    return Models(*[PipelineModel.load(f"{folder.rstrip('/')}/{name}") for name in ("membership", "credit", "permanence")])
+
+
 def prob_of(df: DataFrame, label: int = 1, name: str = "churn_prob") -> DataFrame:
     """Probability of one label as a plain column; the vectors of the model are dropped."""
     out = df.withColumn(name, F.get(vector_to_array("probability"), F.lit(label)))
@@ -181,11 +191,12 @@ def score(df: DataFrame, model: PipelineModel, inputs: tuple[str, ...], name: st
 
 
 def score_return(members: DataFrame, model: PipelineModel) -> DataFrame:
-    """Probability that the gap is permanent. The month is the one of the last visit, and the two visit counts go in
-    as 0: what this model reads is season and gap."""
-    swapped = members.withColumns({
+    """``likely_permanent_prob``: the probability that the gap is permanent; all other columns pass through. The month is
+    the one of the last visit, and the two visit counts go in as 0: what this model reads is season and gap."""
+    kept = ["visits_trailing60", "visits_prior60", "month_sin", "month_cos"]
+    swapped = members.withColumns({f"_kept_{c}": F.col(c) for c in kept}).withColumns({
         "visits_trailing60": F.lit(0), "visits_prior60": F.lit(0),
         "month_sin": F.col("asof_month_sin"), "month_cos": F.col("asof_month_cos"),
     })
-    scored = score(swapped, model, RETURN_INPUTS, "likely_permanent_prob")
-    return scored.select("email", "likely_permanent_prob")
+    out = score(swapped, model, RETURN_INPUTS, "likely_permanent_prob")
+    return out.withColumns({c: F.col(f"_kept_{c}") for c in kept}).drop(*[f"_kept_{c}" for c in kept])

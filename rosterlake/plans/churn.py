@@ -12,6 +12,7 @@ from rosterlake.functions import text as X
 from rosterlake.operators import activity as A
 from rosterlake.operators import keyed as K
 from rosterlake.operators import scoring as S
+from rosterlake.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -53,7 +54,7 @@ def score_people(members: DataFrame, credits: DataFrame, models: S.Models) -> Da
     """Scored batch of both populations."""
     scored = S.score(members, models.membership, S.MEMBERSHIP_INPUTS)
     # the second model reads the same rows; its probability rides along instead of being joined back by e-mail
-    both = _with_permanence(scored, models)
+    both = S.score_return(scored, models.permanence)
     member_batch = _batch(both, "membership", F.col("churn_prob"), F.col("likely_permanent_prob"),
                           S.membership_signal())
     credit_batch = _batch(S.score(credits, models.credit, S.CREDIT_INPUTS), "credit", F.col("churn_prob"),
@@ -61,23 +62,12 @@ def score_people(members: DataFrame, credits: DataFrame, models: S.Models) -> Da
     return member_batch.unionByName(credit_batch)
 
 
-def _with_permanence(scored: DataFrame, models: S.Models) -> DataFrame:
-    kept = ["visits_trailing60", "visits_prior60", "month_sin", "month_cos"]
-    swapped = scored.withColumns({f"_kept_{c}": F.col(c) for c in kept}).withColumns({
-        "visits_trailing60": F.lit(0), "visits_prior60": F.lit(0),
-        "month_sin": F.col("asof_month_sin"), "month_cos": F.col("asof_month_cos"),
-    })
-    out = S.score(swapped, models.permanence, S.RETURN_INPUTS, "likely_permanent_prob")
-    return out.withColumns({c: F.col(f"_kept_{c}") for c in kept}).drop(*[f"_kept_{c}" for c in kept])
-
-
 def churn_scoring(t: ChurnTables, models: S.Models, scores: DataFrame, as_of: date) -> tuple[DataFrame, DataFrame]:
     """Score table after the run, and the rows that are new or changed in a risk tier.
 
-    The people are kept between the two populations, so purchases and visits are read and grouped once.
+    The people are staged between the two populations, so purchases and visits are read and grouped once.
     """
-    everyone = people(t, as_of).persist()
-    return score_and_merge(everyone, models, scores, as_of)
+    return score_and_merge(cut_lineage(people(t, as_of)), models, scores, as_of)
 
 
 def score_and_merge(everyone: DataFrame, models: S.Models, scores: DataFrame, as_of: date

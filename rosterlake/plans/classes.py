@@ -14,12 +14,20 @@ from rosterlake.operators import filters as P
 from rosterlake.operators import keyed as K
 from rosterlake.operators import matching as N
 
+# The labels of the measurement note, in order.
 MEASURES = (
     ("Seat Height", "seat_height"), ("Seat Position", "seat_position"), ("Handlebar Height", "handlebar_height"),
     ("Handlebar Position", "handlebar_position"), ("Shoe Size", "shoe_size"),
 )
 
 
+# The texts of the payroll note, in order.
+PAYROLL_NOTE = (
+    ("# of Class found: ", "classes"), ("# of Instructors not found: ", "instructors_missing"),
+    ("# of Studios not found: ", "studios_missing"), ("# of Class types not found: ", "types_missing"),
+)
+
+
 # --- payroll ----------------------------------------------------------------------------------------------------------
 
 
@@ -51,10 +59,8 @@ def payroll_classes(sessions: DataFrame, bookings: DataFrame | None, instructors
 def payroll_note(assigned: DataFrame) -> DataFrame:
     """One row of counts with its note text."""
     m = N.lookup_misses(assigned)
-    parts = [("Class found", "classes"), ("Instructors not found", "instructors_missing"),
-             ("Studios not found", "studios_missing"), ("Class types not found", "types_missing")]
     return m.withColumn("note", F.concat_ws(" | ", *[
-        F.concat(F.lit(f"# of {label}: "), F.col(c).cast("string")) for label, c in parts]))
+        F.concat(F.lit(label), F.col(c).cast("string")) for label, c in PAYROLL_NOTE]))
 
 
 def class_checkins(classes: DataFrame, bookings: DataFrame) -> DataFrame:

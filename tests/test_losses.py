@@ -121,3 +121,30 @@ def test_evening_classes_belong_to_the_local_day(spark):
     customers = spark.createDataFrame([], "customer_id string, email string")
     got, _ = lifecycle.new_people_today(bookings, users, sessions, classes, customers, date(2024, 1, 15))
     assert sorted(r["email"] for r in got.collect()) == ["u1@x", "u2@x"]
+
+
+def test_models_are_stored_and_loaded(spark, tmp_path):
+    from rosterlake.catalog.churn import known
+    from rosterlake.operators import scoring as S
+
+    models = known(spark)
+    S.save_models(models, str(tmp_path / "models"))
+    S.save_models(models, str(tmp_path / "models"))
+    again = S.load_models(str(tmp_path / "models"))
+    rows = spark.range(20).select(*[((F.col("id") * (k + 3)) % 7).cast("double").alias(c) for k, c in enumerate(S.RETURN_INPUTS)])
+
+    def probabilities(m):
+        return sorted(r["p"] for r in S.score(rows, m.permanence, S.RETURN_INPUTS, "p").collect())
+
+    assert probabilities(again) == probabilities(models) and len(set(probabilities(models))) > 5
+
+
+def test_scoring_reads_its_inputs_once(spark, tmp_path):
+    from rosterlake.catalog import Tables
+    from rosterlake.catalog.churn import known, tables
+    from rosterlake.plans import churn
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    merged, _ = churn.churn_scoring(tables(t), known(spark), t.scores, date(2001, 6, 30))
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem" not in plan and plan.count("Relation [") <= 2
