@@ -9,6 +9,8 @@ rank among the pieces of that length.
 from __future__ import annotations
 
 import bisect
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -20,33 +22,68 @@ from pyspark.sql import functions as F
 from rosterlake.llm.common import small_batches, staged, with_row
 
 CAPACITY = 2048
-#: Words whose ids are remembered in one Python worker; beyond it the memory starts anew.
+#: Entries of each half of a memory; the older half goes when the newer one is full.
 _REMEMBERED = 400_000
+#: Chunks whose lower case and normal form are plain, and which hold neither an apostrophe nor the start of a special token.
+_PLAIN = re.compile("[!-&(-;=-~À-ÖØ-öø-ÿ]+")
+_PIECE = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
+
+class Memory:
+    """Two dictionaries: what is found in the older one moves to the newer, what is not asked for is forgotten."""
+
+    def __init__(self, size: int = _REMEMBERED):
+        self.size, self.new, self.old = size, {}, {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Keys that have to be made. All others are in the newer half afterwards; those made must be put there."""
+        if len(self.new) > self.size:
+            self.new, self.old = {}, self.new
+        out = []
+        for key in keys.difference(self.new):
+            value = self.old.get(key)
+            if value is None:
+                out.append(key)
+            else:
+                self.new[key] = value
+        return out
 
 
 class Encoder:
     """Token ids of whole texts, as little-endian unsigned 32-bit numbers.
 
-    The tokenizer drops white space and never merges across it, so ids are looked up by space-separated chunk and only
-    chunks not met before are encoded.
+    The tokenizer drops white space and never merges across it, so ids are looked up by space-separated chunk. A plain
+    chunk not met before is put together from its runs of letters, digits and signs, between which the tokenizer does not
+    merge either; only runs not met before, and chunks that are not plain, go through the tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.chunks, self.runs = Memory(), Memory()
+
+    def _made(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids by the whole tokenizer."""
+        for at in range(0, len(texts), 20_000):
+            part = texts[at : at + 20_000]
+            for text, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                yield text, struct.pack(f"<{len(got.ids)}I", *got.ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        if len(known) > _REMEMBERED:
-            known.clear()
-        new = list({w for words in split for w in words if w not in known})
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            for word, got in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                known[word] = np.asarray(got.ids, "<u4").tobytes()
+        new = self.chunks.missing(set().union(*split))
+        plain = [(w, _PIECE.findall(w.lower())) for w in new if _PLAIN.fullmatch(w)]
+        missing = self.runs.missing(set().union(*[r for _, r in plain]))
+        known, runs, merge = self.chunks.new, self.runs.new, self.tokenizer.model.tokenize
+        for run in missing:
+            if run.isascii():  # stands for itself in a byte-level vocabulary, so only the merges are left to do
+                ids = [token.id for token in merge(run)]
+                runs[run] = struct.pack(f"<{len(ids)}I", *ids)
+        runs.update(self._made([r for r in missing if r not in runs]))
+        for chunk, parts in plain:
+            known[chunk] = runs[parts[0]] if len(parts) == 1 else b"".join([runs[r] for r in parts])
+        known.update(self._made([w for w in new if w not in known]))
         return [b"".join([known[w] for w in words]) for words in split]
 
 
