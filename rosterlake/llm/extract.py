@@ -22,6 +22,8 @@ from rosterlake.llm.common import small_batches
 WINDOW, SURGE, DIVE = 3, 86, 0
 #: Share of a line that may be link text.
 LINKED = 0.6
+#: Lines of link text in a row that make a list of links.
+LISTED = 3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)", re.S)
@@ -34,7 +36,7 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike "
     "strong sub sup time tt u var wbr br nobr".split())
 #: Elements that are never the article.
-_ASIDE = frozenset("nav footer aside form menu dialog button select option fieldset figure figcaption head object audio video canvas".split())
+_ASIDE = frozenset("nav footer aside form menu dialog button select option fieldset head object audio video canvas".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 #: Words of a class or id that say a part is not the article.
 _NOT = re.compile(
@@ -164,15 +166,27 @@ def stretches(lengths: list[int], window: int = WINDOW, surge: int = SURGE, dive
     return out
 
 
+def _run(marks: list[bool], at: int) -> int:
+    """How many marks in a row there are around a marked place, as far as a list needs."""
+    first, last = at, at
+    while last - first < LISTED and first and marks[first - 1]:
+        first -= 1
+    while last - first < LISTED and last + 1 < len(marks) and marks[last + 1]:
+        last += 1
+    return last - first + 1
+
+
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks, white space inside a block as one space, joined by two line feeds."""
     every = [(x, x.text()) for x in lines_of(page or "")]
     lines = [(x, t) for x, t in every if t]
     articles = {x.article for x, _ in lines if x.article and not x.aside}
+    linked = [x.linked > LINKED * len(text) for x, text in lines]
     lengths = []
-    for x, text in lines:
-        off = x.aside or x.linked > LINKED * len(text) or articles and not x.article
-        lengths.append(0 if off else len(text))
+    for i, (x, text) in enumerate(lines):
+        # inside an article a line of link text belongs to it, unless it stands in a list of such lines
+        listed = linked[i] and (not x.article or _run(linked, i) >= LISTED)
+        lengths.append(0 if x.aside or listed or articles and not x.article else len(text))
     kept: set[int] = set()
     found = stretches(lengths)
     if not found and any(lengths):
