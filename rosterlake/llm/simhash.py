@@ -173,14 +173,21 @@ def forests(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFra
     return dealt.groupBy("_one", "_two").applyInPandas(_compared(radius), "u long, v long")
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every node has one link, to a node that has none."""
+    centres = links.select(F.col("v").alias("u")).distinct()
+    several = links.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("u")
+    return links.join(centres, "u", "left_semi").select("u").union(several).isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``, the smallest node of its component, for every node of the links (u, v).
 
     Large stars and small stars in turn: each node hands its neighbours to the smallest it sees. Both steps are
-    aggregations and one join; every round is staged, so a lost executor costs one round. Ends when nothing changes.
+    aggregations and one join; every round is staged, so a lost executor costs one round. Ends when only stars are left.
     """
-    state, seen = staged(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()), None
-    while True:
+    state = staged(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct())
+    while not _are_stars(state):
         both = state.union(state.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("_low")).select("u", F.least("u", "_low").alias("_low"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("_low").alias("v")).distinct()
@@ -188,10 +195,6 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(own, "u").select(F.explode(F.array(
             F.struct(F.col("u"), F.col("_low").alias("v")), F.struct(F.col("v").alias("u"), F.col("_low").alias("v")))).alias("e"))
         state = staged(small.select("e.u", "e.v").filter("u <> v").distinct())
-        now = state.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-        if now == seen:
-            break
-        seen = now
     return state.select(F.col("u").alias("node"), F.col("v").alias("root")).union(state.select("v", "v").distinct())
 
 
