@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import gc
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.session import cut_lineage
+from rosterlake.session import checkpoint_dir, cut_lineage
 
 #: White space that parts words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -41,6 +43,17 @@ def staged(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write as a table to the shared folder and go on from there. For steps with many rows: columns take a fraction of a
+    checkpoint's space. The shuffles behind the table are let go, so that a long job holds those of one step at a time."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/step-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.parquet(path)
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[str]:
     """The texts of a batch, null as empty."""
     for value in batch.column(column):

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterlake.llm.collection import repeated_places
-from rosterlake.llm.common import small_batches, with_row
+from rosterlake.llm.common import small_batches, stored, with_row
 
 LENGTH = 200
 SEED = 100
@@ -115,16 +115,20 @@ def occurrences(whole: DataFrame, length: int = LENGTH, seed: int = SEED) -> Dat
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Whole anchors together, as many as a construction takes. Rows come sorted by anchor."""
-    held, size = [], 0
+    held = None
     for batch in batches:
-        for _, group in batch.groupby("anchor", sort=False):
-            if size > BLOCK and held[-1]["anchor"].iat[-1] != group["anchor"].iat[0]:
-                yield pd.concat(held, ignore_index=True)
-                held, size = [], 0
-            held.append(group)
-            size += int(group["bytes"].str.len().sum())
-    if held:
-        yield pd.concat(held, ignore_index=True)
+        held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        anchors = held["anchor"].to_numpy()
+        cuts = np.flatnonzero(anchors[1:] != anchors[:-1]) + 1  # the last anchor may go on
+        upto = np.cumsum(held["bytes"].str.len().to_numpy())
+        start = 0
+        for cut, size in zip(cuts.tolist(), upto[cuts - 1].tolist()):
+            if size - (upto[start - 1] if start else 0) >= BLOCK:
+                yield held.iloc[start:cut]
+                start = cut
+        held = held.iloc[start:].reset_index(drop=True)
+    if held is not None and len(held):
+        yield held
 
 
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,18 +195,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, text
     known = F.xxhash64("string", "n")
     anchors = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n"), F.min(known).alias("_lo"), F.max(known).alias("_hi"))
     several = anchors.filter("_n > 1").select("anchor", (F.col("_lo") == F.col("_hi")).alias("_same"))
-    places = places.join(several, "anchor")
+    places = stored(places.join(several, "anchor"))
     equal = places.filter("_same").select("_row", "start", "n")
 
     distinct = places.filter("not _same").groupBy("anchor", "string", "n").agg(
         F.min(F.struct("_row", "start")).alias("_one"), (F.count(F.lit(1)) > 1).alias("often"))
-    crowds = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("_strings")).filter(F.col("_strings") > CROWDED).select("anchor")
-    picked = distinct.select("anchor", "string", "n", "often", "_one._row", "_one.start")
-    calm = _bytes_of(whole, picked.join(crowds, "anchor", "left_anti"), length)
-    built = calm.repartition("anchor").sortWithinPartitions("anchor").mapInPandas(
-        _constructed(length), "anchor long, string long, n short, first int, many int")
-    crowded = _by_window(_bytes_of(whole, picked.join(crowds, "anchor", "left_semi"), length), length)
-    found = built.unionByName(crowded)
+    strings = stored(_bytes_of(whole, distinct.select("anchor", "string", "n", "often", "_one._row", "_one.start"), length))
+    crowds = strings.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > CROWDED).select("anchor")
+    calm = strings.join(crowds, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
+    built = calm.mapInPandas(_constructed(length), "anchor long, string long, n short, first int, many int")
+    crowded = _by_window(strings.join(crowds, "anchor", "left_semi"), length)
+    found = stored(built.unionByName(crowded))
     partly = places.filter("not _same").join(found, ["anchor", "string", "n"]).select(
         "_row", (F.col("start") + F.col("first")).alias("start"), F.col("many").alias("n"))
     windows = equal.unionByName(partly)
