@@ -11,6 +11,7 @@ needs no construction: an anchor found once repeats nothing, and strings that ar
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -136,13 +137,54 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def _constructed(length: int):
+def _shared_ahead(anchors: np.ndarray, parts: list[bytes]) -> np.ndarray:
+    """For each part the longest start that it has in common with any other part of its anchor: the longest neighbours in
+    sorted order have."""
+    order = sorted(range(len(parts)), key=lambda i: (anchors[i], parts[i]))
+    wide = np.empty((len(parts), max(map(len, parts), default=0) + 1), np.uint8)
+    wide[::2], wide[1::2] = 0xFF, 0xFE  # neither is in a UTF-8 text, so ends never agree
+    for row, i in enumerate(order):
+        wide[row, : len(parts[i])] = np.frombuffer(parts[i], np.uint8)
+    same = np.argmax(wide[1:] != wide[:-1], axis=1)
+    same[anchors[order][1:] != anchors[order][:-1]] = 0
+    out = np.empty(len(parts), np.int64)
+    out[order] = np.maximum(np.append(same, 0), np.insert(same, 0, 0))
+    return out
+
+
+def _clipped(anchors: np.ndarray, strings: list[bytes], length: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The stretch of each string that any other string of its anchor can repeat: the anchor, and on either side as much as
+    it shares with the one that agrees longest. Empty where that is shorter than ``length``."""
+    ends = np.cumsum([len(x) for x in strings])
+    starts = ends - np.diff(ends, prepend=0)
+    hashes = _hashes(np.frombuffer(b"".join(strings), np.uint8), seed).view(np.int64)
+    hits = np.flatnonzero(hashes == np.repeat(anchors, ends - starts)[: len(hashes)])
+    at = hits[np.searchsorted(hits, starts)] - starts  # the anchor is the leftmost of its kind in every window
+    left = at - _shared_ahead(anchors, [x[:p][::-1] for x, p in zip(strings, at.tolist())])
+    right = at + seed + _shared_ahead(anchors, [x[p + seed :] for x, p in zip(strings, at.tolist())])
+    return left, np.where(right - left >= length, right, left)
+
+
+def _constructed(length: int, seed: int):
     def repeated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in _blocks(batches):
-            flags = repeated_places(list(block["bytes"]), length)
+            anchors, strings = block["anchor"].to_numpy(), list(block["bytes"])
+            left, right = _clipped(anchors, strings, length, seed)
+            clips = [x[a:b] for x, a, b in zip(strings, left.tolist(), right.tolist())]
+            # equal clips repeat in full; only clips that differ from another one of their anchor are built
+            places: dict[tuple[int, bytes], list[int]] = {}
+            for i, (anchor, clip) in enumerate(zip(anchors.tolist(), clips)):
+                if clip:
+                    places.setdefault((anchor, clip), []).append(i)
+            kinds = Counter(anchor for anchor, _ in places)
+            built = [key for key in places if kinds[key[0]] > 1]
+            flags = dict(zip(built, repeated_places([clip for _, clip in built], length))) if built else {}
             out = []
-            for i, (anchor, string, n, often) in enumerate(zip(block["anchor"], block["string"], block["n"], block["often"])):
-                own = np.ones(n, bool) if often else flags[i, :n]
+            for i, (anchor, string, n, often) in enumerate(zip(anchors.tolist(), block["string"], block["n"], block["often"])):
+                own = np.full(n, bool(often))
+                if clips[i]:
+                    key, windows = (anchor, clips[i]), len(clips[i]) - length + 1
+                    own[left[i] : left[i] + windows] |= True if len(places[key]) > 1 else flags[key][:windows] if key in flags else False
                 out += [(anchor, string, n, int(a), int(b - a)) for a, b in zip(*_runs(own))]
             yield pd.DataFrame(out, columns=["anchor", "string", "n", "first", "many"])
 
@@ -194,7 +236,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, text
     places = occurrences(whole, length, seed)
     known = F.xxhash64("string", "n")
     anchors = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n"), F.min(known).alias("_lo"), F.max(known).alias("_hi"))
-    several = anchors.filter("_n > 1").select("anchor", (F.col("_lo") == F.col("_hi")).alias("_same"))
+    # written first: a join of two plain shuffles is one that adaptive execution can split at a hot anchor
+    several = stored(anchors.filter("_n > 1").select("anchor", (F.col("_lo") == F.col("_hi")).alias("_same")))
     places = stored(places.join(several, "anchor"))
     equal = places.filter("_same").select("_row", "start", "n")
 
@@ -203,7 +246,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, text
     strings = stored(_bytes_of(whole, distinct.select("anchor", "string", "n", "often", "_one._row", "_one.start"), length))
     crowds = strings.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > CROWDED).select("anchor")
     calm = strings.join(crowds, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
-    built = calm.mapInPandas(_constructed(length), "anchor long, string long, n short, first int, many int")
+    built = calm.mapInPandas(_constructed(length, seed), "anchor long, string long, n short, first int, many int")
     crowded = _by_window(strings.join(crowds, "anchor", "left_semi"), length)
     found = stored(built.unionByName(crowded))
     partly = places.filter("not _same").join(found, ["anchor", "string", "n"]).select(
