@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterlake.llm.common import small_batches, texts, with_row
+from rosterlake.llm.common import small_batches, stored, texts, with_row
 
 #: Shorter units are too common to say that a passage was copied.
 MIN_WORDS = 5
@@ -75,7 +75,8 @@ def repeats(docs: DataFrame, by: str = "line", min_words: int = MIN_WORDS, doc_i
     units = unit_digests(docs, by, min_words, doc_id, text)
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_row"), F.col("start"))
     first = units.groupBy("a", "b").agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    every = units.join(first, ["a", "b"])
+    # written first: a join of two plain shuffles is one that adaptive execution can split at a hot digest
+    every = units.join(stored(first), ["a", "b"])
     later = every.filter((F.col("_row") != F.col("_first._row")) | (F.col("start") != F.col("_first.start")))
     return later.select("_row", "doc_id", "start", "end", F.col("_first._row").alias("kept_row"),
                         F.col("_first.doc_id").alias("kept_doc_id"), F.col("_first.start").alias("kept_start"))
