@@ -22,8 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of a source go; every document stays."""
-    return lines.drop_boilerplate(docs)
+    """Boilerplate lines of a source go; every document stays. Copies, which are still there, count as one page."""
+    return lines.drop_boilerplate(docs, copies_once=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,13 +27,18 @@ def _keys(text: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(F.transform(F.split(text, "\n", -1), _line), lambda x: x != ""), _key))
 
 
-def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES,
+                copies_once: bool = False) -> DataFrame:
     """``_host``, ``_key`` and ``n_pages`` of the lines on more than ``ratio`` of their host's pages.
 
-    A page is a row, and counts once for a line however often it has it. Counts are summed in the map tasks first, so a
-    host or a line that holds a third of all rows moves a few rows a task. Null hosts are one host.
+    A page is a row, or with ``copies_once`` a different text of its host: then copies of a page are no reason to call its
+    lines boilerplate. It counts once for a line however often it has it. Pages and counts are put together in the map
+    tasks first, so a host, a page or a line that holds a third of all rows moves a few rows a task. Null hosts are one
+    host.
     """
-    pages = docs.select(F.col(host).cast("string").alias("_host"), _keys(text_or_empty(text)).alias("_keys"))
+    pages = docs.select(F.col(host).cast("string").alias("_host"), _key(text_or_empty(text)).alias("_page"), _keys(text_or_empty(text)).alias("_keys"))
+    if copies_once:
+        pages = pages.dropDuplicates(["_host", "_page"])
     totals = pages.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
     counts = pages.select("_host", F.explode("_keys").alias("_key")).groupBy("_host", "_key").agg(F.count(F.lit(1)).alias("n_pages"))
     often = counts.filter(F.col("n_pages") >= min_pages)
@@ -41,10 +46,11 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio
     return often.join(totals, same).filter(F.col("n_pages") > F.col("_pages") * F.lit(ratio)).select(often["_host"], "_key", "n_pages")
 
 
-def marked_lines(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def marked_lines(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES,
+                 copies_once: bool = False) -> DataFrame:
     """``docs`` with ``_row`` and the keys of the lines to drop from each row, null where there are none."""
     whole = with_row(docs)
-    dropped = boilerplate(docs, host, text, ratio, min_pages).drop("n_pages")
+    dropped = boilerplate(docs, host, text, ratio, min_pages, copies_once).drop("n_pages")
     lines = whole.select("_row", F.col(host).cast("string").alias("_on"), F.explode(_keys(text_or_empty(text))).alias("_line"))
     hit = lines.join(dropped, (lines["_line"] == dropped["_key"]) & lines["_on"].eqNullSafe(dropped["_host"]), "left_semi")
     drops = hit.groupBy("_row").agg(F.collect_set("_line").alias("_drops"))
@@ -57,11 +63,12 @@ def _kept(text: Column) -> Column:
     return F.when(F.col("_drops").isNull(), text).otherwise(F.array_join(keep, "\n"))
 
 
-def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES,
+                     copies_once: bool = False) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``; every row and column stays, in the order of columns given.
 
-    A null text stays null, an empty one empty. Blank lines are never dropped. Repeated rows count as pages of their own
-    and lose the same lines. ``docs`` must be a table scan or staged.
+    A null text stays null, an empty one empty. Blank lines are never dropped. Repeated rows lose the same lines; they count
+    as pages of their own, or as one page with ``copies_once``. ``docs`` must be a table scan or staged.
     """
-    out = marked_lines(docs, host, text, ratio, min_pages)
+    out = marked_lines(docs, host, text, ratio, min_pages, copies_once)
     return out.select(*[(_kept(F.col(text)) if c == text else F.col(f"`{c}`")).alias(c) for c in docs.columns])
