@@ -1,6 +1,7 @@
 """Benchmark decontamination with SimHash windows.
 
-For each benchmark item, document windows of the item's number of words get a SimHash over their word shingles. A
+For each benchmark item, document windows of the item's number of words get a SimHash over their word shingles; a
+document with fewer words is one window. A
 multi-index over Hamming blocks finds every item of that size whose fingerprint lies within the radius; the weighted
 similarity of the shingle multisets then decides. A window that has no shingle in common with the item has similarity
 zero, so only windows that reach a benchmark shingle are fingerprinted; that leaves out nothing that could be verified.
@@ -95,7 +96,8 @@ class Index:
             self.sized[size] = group, prints, table
 
     def found(self, text: str) -> list[tuple[int, int, int, float]]:
-        """(item, first word, words, similarity): the best window of each item, the first of equals."""
+        """(item, first word, words, similarity): the best window of each item, the first of equals. For an item longer than
+        the document, the window is the whole document."""
         known = self.vocabulary
         document = words(text)
         marks = [w in known for w in document]
@@ -106,18 +108,18 @@ class Index:
             for at in _full(marks, size):
                 for n in self.with_shingle.get(tuple(document[at : at + size]), ()):
                     if n >= size:
-                        reach[n].update(range(max(0, at + size - n), min(at, len(document) - n) + 1))
+                        reach[n].update(range(max(0, at + size - n), min(at, max(0, len(document) - n)) + 1))
         best: dict[int, tuple[float, int, int]] = {}
         for n, starts in reach.items():
             for first, last in _stretches(sorted(starts)):
                 self._windows(document, first, last, n, best)
-        return [(item, at, n, score) for item, (score, at, n) in best.items()]
+        return [(item, at, min(n, len(document)), score) for item, (score, at, n) in best.items()]
 
     def _windows(self, document: list[str], first: int, last: int, n: int, best: dict) -> None:
         """Windows of ``n`` words that start from ``first`` to ``last``."""
         group, prints, table = self.sized[n]
         own = shingles(document[first : last + n], min(SHINGLE, n))
-        each = n - min(SHINGLE, n) + 1
+        each = min(n - min(SHINGLE, n) + 1, len(own))
         sums = np.zeros((len(own) + 1, 64), np.int32)
         np.cumsum(_bits([_hash(s) for s in own]), axis=0, out=sums[1:])
         for k, value in enumerate(_packed(sums[each:] - sums[:-each]).tolist()):
@@ -150,24 +152,27 @@ def _stretches(starts: list[int]) -> Iterator[tuple[int, int]]:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-          item_text: str = "text", radius: int = RADIUS, threshold: float = SIMILARITY, items: int = ITEMS) -> DataFrame:
+          item_text: str = "text", radius: int = RADIUS, threshold: float = SIMILARITY, items: int = ITEMS, nameless: bool = False) -> DataFrame:
     """One row for each input row and item found in it: ``_row``, ``doc_id``, ``item_id``, ``first_word``, ``n_words``
     and ``similarity`` of the best window.
 
     The benchmark is read in blocks of ``items`` items, which bounds what is sent to the executors; each block is one
     pass over the documents without a shuffle, and all windows of all documents are looked at in each. Null and empty
-    texts, and items without a word, give nothing. Repeated rows give a result each; an item that is listed twice is
-    reported once. A document shorter than an item has no window of its size.
+    texts, and items without a word, give nothing. Repeated rows give a result each. An item is a pair of id and text: one
+    that is listed twice is reported once, different texts under one id are looked for and reported one by one. Items
+    without an id are looked for with ``nameless``, and reported with a null one.
     """
     small_batches(docs.sparkSession)
     whole = with_row(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")))
     schema = "_row long, doc_id long, item_id long, first_word int, n_words int, similarity double"
-    listed = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).cast("string").alias("text")).filter(
-        "id IS NOT NULL AND text IS NOT NULL").groupBy("id").agg(F.max("text").alias("text"))
+    listed = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).cast("string").alias("text")).filter("text IS NOT NULL")
+    listed = (listed if nameless else listed.filter("id IS NOT NULL")).distinct()
+    named = F.concat_ws(" ", F.coalesce(F.col("id").cast("string"), F.lit("none")), "text")
+    listed = listed.withColumn("key", F.sha2(named.cast("binary"), 256))
     passes, below = [], None
     while not passes or below is not None:
-        part = (listed if below is None else listed.filter(F.col("id") > below)).orderBy("id").limit(items).collect()
-        below = part[-1]["id"] if len(part) == items else None
+        part = (listed if below is None else listed.filter(F.col("key") > below)).orderBy("key").limit(items).collect()
+        below = part[-1]["key"] if len(part) == items else None
         passes.append(whole.mapInArrow(_pass([(r["id"], r["text"]) for r in part], radius, threshold), schema))
     out = passes[0]
     for more in passes[1:]:
@@ -175,16 +180,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     return out
 
 
-def _pass(items: list[tuple[int, str]], radius: int, threshold: float):
+def _pass(items: list[tuple[int | None, str]], radius: int, threshold: float):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(items, radius, threshold)
+        index = Index([(k, value) for k, (_, value) in enumerate(items)], radius, threshold)
         for batch in batches:
             of, rows = [], []
             for i, value in enumerate(texts(batch)):
                 for found in index.found(value):
                     of.append(i)
                     rows.append(found)
-            item, first, n, score = zip(*rows) if rows else ((),) * 4
+            at, first, n, score = zip(*rows) if rows else ((),) * 4
+            item = [items[k][0] for k in at]
             own = [batch.column(c).take(pa.array(of, pa.int64())) for c in ("_row", "doc_id")]
             yield pa.RecordBatch.from_arrays(
                 [*own, pa.array(item, pa.int64()), pa.array(first, pa.int32()), pa.array(n, pa.int32()), pa.array(score, pa.float64())],
@@ -194,6 +200,7 @@ def _pass(items: list[tuple[int, str]], radius: int, threshold: float):
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows in which an item was found. ``docs`` must be a table scan or staged."""
-    rows = leaks(docs, benchmark, **options).select("_row").distinct()
+    """``docs`` without the rows in which an item was found, items without an id included. ``docs`` must be a table scan or
+    staged."""
+    rows = leaks(docs, benchmark, nameless=True, **options).select("_row").distinct()
     return with_row(docs).join(rows, "_row", "left_anti").drop("_row")

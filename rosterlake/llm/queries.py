@@ -57,7 +57,8 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")).drop("_row")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.leaks(docs, table(spark, sf_dir, "benchmark"), nameless=True).drop("_row")
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
