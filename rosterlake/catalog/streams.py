@@ -52,7 +52,5 @@ def _hours(t):
   SELECT DISTINCT reservation_id FROM bookings WHERE status = 'pending' AND reservation_type = 'standard'""")
 def _reminders(t):
     home = _home(t)
-    due = reminders.reminder_stream(_stream(t, "bookings", "events")).select("reservation_id")
-    (due.writeStream.format("parquet").option("path", f"{home}/table").option("checkpointLocation", f"{home}/state")
-     .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+    reminders.write_reminders(_stream(t, "bookings", "events"), f"{home}/table", f"{home}/state").awaitTermination()
     return t.spark.read.parquet(f"{home}/table")

@@ -1,10 +1,13 @@
-"""Hourly windows over class starts, as a stream."""
+"""Hourly windows over class starts and reminders, as streams."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
+
+from rosterlake.session import cut_lineage
 
 
 def _pending(bookings: DataFrame) -> DataFrame:
@@ -33,6 +36,31 @@ def write_hours(bookings: DataFrame, path: str, checkpoint: str, at: str = "star
     )
 
 
-def reminder_stream(bookings: DataFrame, late: str = "3 hours") -> DataFrame:
-    """Each pending booking once, however often it is delivered; the checkpoint remembers which ones went out."""
-    return _pending(bookings).withWatermark("start_datetime", late).dropDuplicatesWithinWatermark(["reservation_id"])
+def reminder_stream(bookings: DataFrame) -> DataFrame:
+    """Each pending booking once, however often and however late it is delivered; the checkpoint remembers which ones went
+    out. Its state grows with the bookings: for many of them take ``write_reminders``."""
+    return _pending(bookings).dropDuplicates(["reservation_id"])
+
+
+def remind_batch(batch: DataFrame, path: str) -> None:
+    """Append the pending bookings of one micro-batch that the table of reminders does not hold. Running a batch again adds
+    nothing."""
+    due = cut_lineage(_pending(batch).select("reservation_id").distinct())
+    try:
+        sent = due.sparkSession.read.parquet(path).select(F.col("reservation_id").alias("_sent"))
+        due = due.join(sent, F.col("reservation_id").eqNullSafe(F.col("_sent")), "left_anti")
+    except AnalysisException:  # the first batch finds no table
+        pass
+    due.write.mode("append").parquet(path)
+
+
+def write_reminders(bookings: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Keep a table of the bookings that were reminded of. The table itself says which ones are new: classes start in
+    another order than their bookings come, so a watermark on the start would drop bookings that nobody was reminded of."""
+    return (
+        bookings.writeStream.foreachBatch(lambda batch, _: remind_batch(batch, path))
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
