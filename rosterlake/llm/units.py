@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from rosterlake.llm.common import small_batches, stored, texts, with_row
 
-#: Shorter units are too common to say that a passage was copied.
-MIN_WORDS = 5
+#: Every unit with a letter or digit takes part: a floor in words parted by spaces would leave out short lines, and whole
+#: passages in scripts without spaces.
+MIN_WORDS = 1
 _BREAKS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r]*(?:\n[ \t\r]*)+")}
 _NO_WORD = re.compile(r"[\W_]+")
 

@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from rosterlake.llm import decontam
+from rosterlake.llm import decontam, units
 from tests.llm.test_operators import SCHEMA, prose
 
 
@@ -34,3 +34,10 @@ def test_trimmed_nameless_and_clashing_items_are_found(spark, tmp_path):
         got = decontam.leaks(docs, bench, items=at_once, nameless=True).drop("_row").collect()
         assert sorted(map(tuple, got)) == want
     assert sorted(r["doc_id"] for r in decontam.clean(docs, bench).collect()) == [4, 5]
+
+
+def test_short_lines_and_scripts_without_spaces_are_units(spark, tmp_path):
+    texts = ["Short line\nYes.\n***", "yes\nshort  LINE\n***\nno", "那是很久以前的事情，那时候大家都还住在河边的小村子里。\nยังไม่มีใครรู้"]
+    rows = [(i, t, "en", "s", None) for i, t in enumerate([*texts, texts[2]])]
+    out = units.without_repeats(written(spark, tmp_path / "d", rows)).collect()
+    assert {r["doc_id"]: r["text"] for r in out} == {0: texts[0], 1: "***\nno", 2: texts[2], 3: ""}
