@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.llm import decontam, extract, lines, packing, pii, quality, sharding, simhash, substrings, units
+from rosterlake.llm import decontam, extract, interaction, lines, packing, pii, quality, sharding, simhash, substrings, units
 from rosterlake.llm.common import table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -89,6 +89,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores"))
 
 
+def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interaction.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -98,7 +102,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_substring_dedup, op3_suffix_dedup, op4_line_dedup, op5_html_extraction, op6_benchmark_decontamination,
-        op7_best_fit_packing, op8_simhash_near_dedup, op9_feistel_sharding, op10_personal_data, pipeline)
+        op7_best_fit_packing, op8_simhash_near_dedup, op9_feistel_sharding, op10_personal_data, op11_filter_interaction_audit, pipeline)
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -161,4 +165,33 @@ ORACLES: dict[str, str] = {
                     ELSE len(string_split(kept_text, chr(10))) END::BIGINT AS n_kept,
                CASE WHEN text IS NULL THEN NULL ELSE coalesce(kept_text, '') END AS kept_text
         FROM docs JOIN kept USING (r)""",
+    "op11_filter_interaction_audit": f"""
+        WITH docs AS (SELECT coalesce(source, '') AS part, doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
+        first AS (SELECT t, min(doc_id) AS first_id FROM docs GROUP BY t),
+        marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        masks AS (
+          SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                 (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+                 + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT
+                 + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > first_id, false)::INT AS mask
+          FROM docs JOIN first USING (t) LEFT JOIN marks USING (doc_id)),
+        counted AS (SELECT part, good, toxic, mask, count(*) AS n FROM masks GROUP BY ALL),
+        letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 4, 8, 16]) AS b),
+        orders AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+                   FROM letters a, letters b, letters c, letters d, letters e WHERE a.b + b.b + c.b + d.b + e.b = 31
+                   AND len(list_distinct([a.b, b.b, c.b, d.b, e.b])) = 5),
+        steps AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+                  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+        tried AS (
+          SELECT part, filter_order, step, bit, coalesce(sum(n) FILTER (mask & (before + bit) = 0), 0) AS kept,
+                 coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit <> 0), 0) AS removed,
+                 coalesce(sum(n) FILTER (mask & before <> 0 AND mask & bit <> 0), 0) AS redundant,
+                 coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+                 coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit <> 0 AND good), 0) AS good_lost,
+                 coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit <> 0 AND toxic), 0) AS toxic_lost
+          FROM counted, steps GROUP BY ALL)
+        SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+               unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+        FROM tried""",
 }
