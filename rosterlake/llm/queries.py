@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.llm import decontam, extract, interaction, lines, packing, pii, quality, sharding, simhash, substrings, units
+from rosterlake.llm import decontam, extract, interaction, lines, packing, pii, quality, search, sharding, simhash, substrings, units
 from rosterlake.llm.common import table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -93,6 +93,10 @@ def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame
     return interaction.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -102,7 +106,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_substring_dedup, op3_suffix_dedup, op4_line_dedup, op5_html_extraction, op6_benchmark_decontamination,
-        op7_best_fit_packing, op8_simhash_near_dedup, op9_feistel_sharding, op10_personal_data, op11_filter_interaction_audit, pipeline)
+        op7_best_fit_packing, op8_simhash_near_dedup, op9_feistel_sharding, op10_personal_data, op11_filter_interaction_audit, op12_ranked_search, pipeline)
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -194,4 +198,23 @@ ORACLES: dict[str, str] = {
                unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
                (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
         FROM tried""",
+    "op12_ranked_search": r"""
+        WITH cut AS (SELECT row_number() OVER () AS r, doc_id,
+                            regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        docs AS (SELECT r, doc_id, w, len(w) AS n FROM cut WHERE len(w) > 0),
+        size AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM docs),
+        postings AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM docs) GROUP BY r, t),
+        weights AS (SELECT t, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+                    FROM postings, size GROUP BY t),
+        items AS (SELECT row_number() OVER () AS item, item_id,
+                         list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms FROM benchmark),
+        asked AS (SELECT item, item_id, unnest(terms) AS t FROM items),
+        scored AS (
+          SELECT item, item_id, r, doc_id,
+                 sum(w.w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // words))))::BIGINT AS score
+          FROM asked JOIN postings USING (t) JOIN weights w USING (t) JOIN docs USING (r), size GROUP BY ALL),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+        SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
