@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.llm import decontam, extract, interaction, lines, packing, pii, quality, search, sharding, simhash, substrings, units
+from rosterlake.llm import decontam, extract, interaction, lines, neighbours, packing, pii, quality, search, sharding, simhash, substrings, units
 from rosterlake.llm.common import table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -97,6 +97,10 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -106,7 +110,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_substring_dedup, op3_suffix_dedup, op4_line_dedup, op5_html_extraction, op6_benchmark_decontamination,
-        op7_best_fit_packing, op8_simhash_near_dedup, op9_feistel_sharding, op10_personal_data, op11_filter_interaction_audit, op12_ranked_search, pipeline)
+        op7_best_fit_packing, op8_simhash_near_dedup, op9_feistel_sharding, op10_personal_data, op11_filter_interaction_audit, op12_ranked_search,
+        op13_nearest_neighbours, pipeline)
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
