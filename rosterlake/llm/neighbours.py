@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,6 +41,8 @@ CELL = 8_192
 BLOCK, QUERY_BLOCK = 2_048, 512
 #: Queries on which the number of cells is found, and the share of their true neighbours it must reach.
 SAMPLE, TARGET = 256, 0.95
+#: The first of so many parts of a query's cells give its floor: what is farther than the worst it needs is not handed over.
+NEARBY = 8
 SEED = 42
 #: Axes of one part that are looked at when cells have two parts, three parts, more.
 _AXES = {2: 48, 3: 16}
@@ -179,19 +181,20 @@ def _distinct(rows: DataFrame, k: int) -> DataFrame:
 # candidates
 
 
-def _blocks(rows: DataFrame, block: int) -> DataFrame:
-    """Rows (``table``, ``cell``, ``rep``, ``first_id``, ``vector``) as written blocks of at most ``block`` rows of one cell. The range
+def _blocks(rows: DataFrame, block: int, beside: str) -> DataFrame:
+    """Rows (``table``, ``cell``, ``rep``, ``beside``, ``vector``) as written blocks of at most ``block`` rows of one cell. The range
     partitioning is by cell and row, so that a full cell is dealt to many tasks."""
+    kind = "<f8" if beside == "floor" else "<i8"
 
     def build(at: tuple, held: list[tuple]) -> pa.RecordBatch:
-        numbers = [np.array([h[i] for h in held], "<i8").tobytes() for i in (0, 1)]
-        return pa.RecordBatch.from_arrays([pa.array([at[0]], pa.int32()), pa.array([at[1]], pa.int64()), *[pa.array([x], pa.binary()) for x in (*numbers, b"".join(h[2] for h in held))]],
-                                          names=["table", "cell", "reps", "firsts", "vectors"])
+        cells = [np.array([h[0] for h in held], "<i8").tobytes(), np.array([h[1] for h in held], kind).tobytes(), b"".join(h[2] for h in held)]
+        return pa.RecordBatch.from_arrays([pa.array([at[0]], pa.int32()), pa.array([at[1]], pa.int64()), *[pa.array([x], pa.binary()) for x in cells]],
+                                          names=["table", "cell", "reps", f"{beside}s", "vectors"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
         for batch in batches:
-            for table, cell, *row in zip(*[batch.column(c).to_pylist() for c in ("table", "cell", "rep", "first_id", "vector")]):
+            for table, cell, *row in zip(*[batch.column(c).to_pylist() for c in ("table", "cell", "rep", beside, "vector")]):
                 if held and ((table, cell) != at or len(held) >= block):
                     yield build(at, held)
                     held = []
@@ -201,42 +204,48 @@ def _blocks(rows: DataFrame, block: int) -> DataFrame:
             yield build(at, held)
 
     spread = rows.repartitionByRange("table", "cell", "rep").sortWithinPartitions("table", "cell")
-    return stored(spread.select("table", "cell", "rep", "first_id", "vector").mapInArrow(cut, "table int, cell long, reps binary, firsts binary, vectors binary"))
+    return stored(spread.select("table", "cell", "rep", beside, "vector").mapInArrow(cut, f"table int, cell long, reps binary, {beside}s binary, vectors binary"))
 
 
-def _placed(reps: DataFrame, shape: Shape, most: int | None = None) -> DataFrame:
-    """Each vector in its cell of every table, or with ``most`` in the cells it looks into, nearest first."""
-    fan = shape.tables if most is None else most
+def _placed(reps: DataFrame, shape: Shape) -> DataFrame:
+    """Each vector in its cell of every table."""
+    return _dealt(reps, shape, "first_id", shape.tables, lambda x: (np.broadcast_to(np.arange(shape.tables), (len(x), shape.tables)), homes(shape, x)))
+
+
+def _looking(reps: DataFrame, shape: Shape, skip: int, most: int) -> DataFrame:
+    """Each query in the cells it looks into, nearest first: from the ``skip``th to the ``most``th."""
+    return _dealt(reps, shape, "floor", most - skip, lambda x: tuple(a[:, skip:] for a in probes(shape, x, most)))
+
+
+def _dealt(reps: DataFrame, shape: Shape, beside: str, fan: int, cells_of: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """A row for each vector and cell; a batch is taken in steps, as it grows by ``fan``."""
     step = max(1, _CHUNK // (fan * max(64, shape.size * 8)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, step):
                 batch = whole.slice(at, step)
-                x = shape.vectors(batch.column("vector").to_pylist())
-                if most is None:
-                    cells = homes(shape, x)
-                    tables = np.broadcast_to(np.arange(shape.tables), cells.shape)
-                else:
-                    tables, cells = probes(shape, x, most)
-                of = pa.array(np.repeat(np.arange(len(x)), cells.shape[1]))
-                yield pa.RecordBatch.from_arrays([pa.array(tables.reshape(-1).astype("int32")), pa.array(cells.reshape(-1)), *[batch.column(c).take(of) for c in ("rep", "first_id", "vector")]],
-                                                 names=["table", "cell", "rep", "first_id", "vector"])
-
-    return reps.select("rep", "first_id", "vector").mapInArrow(place, "table int, cell long, rep long, first_id long, vector binary")
-
-
-def _nearest(asked: np.ndarray, held: np.ndarray, firsts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The nearest ``k`` of ``held`` for each row of ``asked``, all that tie included: rows, columns and exact products. The
-    matrix product only chooses; what it may be off by is allowed for."""
+                tables, cells = cells_of(shape.vectors(batch.column("vector").to_pylist()))
+                of = pa.array(np.repeat(np.arange(batch.num_rows), cells.shape[1]))
+                yield pa.RecordBatch.from_arrays([pa.array(tables.reshape(-1).astype("int32")), pa.array(cells.reshape(-1)), *[batch.column(c).take(of) for c in ("rep", beside, "vector")]],
+                                                 names=["table", "cell", "rep", beside, "vector"])
+
+    kind = "double" if beside == "floor" else "long"
+    return reps.select("rep", beside, "vector").mapInArrow(place, f"table int, cell long, rep long, {beside} {kind}, vector binary")
+
+
+def _nearest(asked: np.ndarray, held: np.ndarray, firsts: np.ndarray, k: int, floors: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """The nearest ``k`` of ``held`` for each row of ``asked``, of those that reach its floor: rows, exact products, first ids and
+    columns. The matrix product only chooses; what it may be off by is allowed for."""
     rough = asked @ held.T
+    edge = np.full(len(asked), -np.inf) if floors is None else floors
     if held.shape[0] > k:
-        edge = np.partition(rough, held.shape[0] - k, axis=1)[:, held.shape[0] - k]
-        slack = 1e-12 * held.shape[1] * np.linalg.norm(asked, axis=1) * np.linalg.norm(held, axis=1).max()
-        row, column = np.nonzero(rough >= (edge - slack)[:, None])
-    else:
-        row, column = (a.reshape(-1) for a in np.indices(rough.shape))
+        edge = np.maximum(edge, np.partition(rough, held.shape[0] - k, axis=1)[:, held.shape[0] - k])
+    slack = 1e-12 * held.shape[1] * np.linalg.norm(asked, axis=1) * np.linalg.norm(held, axis=1).max()
+    row, column = np.nonzero(rough >= (edge - slack)[:, None])
     score = products(asked[row], held[column])
+    if floors is not None:
+        row, column, score = (a[score >= floors[row]] for a in (row, column, score))
     return _cut(row, score, firsts[column], column, k)
 
 
@@ -269,8 +278,8 @@ def _compared(pairs: DataFrame, shape: Shape, k: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 asked, there = (np.frombuffer(row[c], shape.kind).reshape(-1, shape.size).astype("float64") for c in ("asked", "vectors"))
-                reps, firsts, queries = (np.frombuffer(row[c], "<i8") for c in ("reps", "firsts", "queries"))
-                q, score, first, column = _nearest(asked, there, firsts, k)
+                reps, firsts, queries = (np.frombuffer(row[c], "<i8") for c in ("reps", "first_ids", "queries"))
+                q, score, first, column = _nearest(asked, there, firsts, k, np.frombuffer(row["floors"], "<f8"))
                 held.append((queries[q], score, first, reps[column]))
             if sum(len(h[0]) for h in held) > 1_000_000:
                 held = [best()]
@@ -282,6 +291,12 @@ def _compared(pairs: DataFrame, shape: Shape, k: int) -> DataFrame:
     return pairs.mapInArrow(compare, _PAIRS)
 
 
+def _found(held: DataFrame, asked: DataFrame, shape: Shape, k: int) -> DataFrame:
+    """What the queries of ``asked`` find in the blocks of the cells they look into."""
+    there = asked.select("table", "cell", F.col("reps").alias("queries"), F.col("vectors").alias("asked"), "floors")
+    return _compared(held.join(there, ["table", "cell"]).drop("table", "cell"), shape, k)
+
+
 def _merged(found: DataFrame, k: int) -> DataFrame:
     """``query`` and its ``k`` best ``found``, in order; what tables and tasks have found of a query is bounded by the cells it
     looked into."""
@@ -350,10 +365,16 @@ def nearest(vectors: DataFrame, queries: Column, k: int = NEAREST, vec_id: str =
     wide = 2 << max(0, (size + filled - 1).bit_length())
     parts = max(1, math.ceil(math.log(max(1, n / cell)) / math.log(wide)))
     shape, most, _ = calibrate(reps, Shape(size, kind, norm, filled, parts, tables), k, target, sample)
-    held = _blocks(_placed(reps, shape), block)
-    asked = _blocks(_placed(reps.filter("asks"), shape, most), query_block)
-    pairs = held.join(asked.select("table", "cell", F.col("reps").alias("queries"), F.col("vectors").alias("asked")), ["table", "cell"])
-    best = _merged(_compared(pairs.drop("table", "cell"), shape, k + 1), k + 1)
+    held = _blocks(_placed(reps, shape), block, "first_id")
+    asked = reps.filter("asks").withColumn("floor", F.lit(float("-inf")))
+    nearby = max(1, most // NEARBY)
+    early = stored(_merged(_found(held, _blocks(_looking(asked, shape, 0, nearby), query_block, "floor"), shape, k + 1), k + 1))
+    floors = early.filter(F.size("found") > k).select(F.col("query").alias("rep"), (-F.col("found")[k]["minus"]).alias("_floor"))
+    rest = asked.join(floors, "rep", "left").withColumn("floor", F.coalesce("_floor", "floor"))
+    found = early.select("query", F.explode("found").alias("f")).select("query", (-F.col("f.minus")).alias("score"), "f.first_id", "f.rep")
+    if most > nearby:
+        found = found.unionByName(_found(held, _blocks(_looking(rest, shape, nearby, most), query_block, "floor"), shape, k + 1))
+    best = _merged(found, k + 1)
     named = best.select("query", F.explode("found").alias("f")).select("query", (-F.col("f.minus")).alias("score"), F.col("f.rep").alias("rep"))
     each = named.join(reps.select("rep", "ids"), "rep").select("query", F.explode("ids").alias("vec_id"), "rep", "score")
     lists = each.groupBy("query").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "vec_id", "rep"))), 1, k + 1).alias("found"))
