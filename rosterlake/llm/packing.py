@@ -9,24 +9,27 @@ rank among the pieces of that length.
 from __future__ import annotations
 
 import bisect
-import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterlake.llm.common import small_batches, staged, with_row
+from rosterlake.llm.common import staged, texts, with_row
 
 CAPACITY = 2048
 #: Entries of each half of a memory; the older half goes when the newer one is full.
 _REMEMBERED = 400_000
 #: Chunks whose lower case and normal form are plain, and which hold neither an apostrophe nor the start of a special token.
-_PLAIN = re.compile("[!-&(-;=-~À-ÖØ-öø-ÿ]+")
-_PIECE = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+_PLAIN = "[!-&(-;=-~À-ÖØ-öø-ÿ]+"
+_RUN = "([a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+)"
+#: Bytes of text that are encoded at once.
+_AT_ONCE = 4 << 20
 
 
 class Memory:
@@ -35,17 +38,18 @@ class Memory:
     def __init__(self, size: int = _REMEMBERED):
         self.size, self.new, self.old = size, {}, {}
 
-    def missing(self, keys: set[str]) -> list[str]:
+    def missing(self, keys: Iterable[str]) -> list[str]:
         """Keys that have to be made. All others are in the newer half afterwards; those made must be put there."""
         if len(self.new) > self.size:
             self.new, self.old = {}, self.new
-        out = []
-        for key in keys.difference(self.new):
-            value = self.old.get(key)
-            if value is None:
-                out.append(key)
-            else:
-                self.new[key] = value
+        new, old, out = self.new, self.old, []
+        for key in keys:
+            if key not in new:
+                value = old.get(key)
+                if value is None:
+                    out.append(key)
+                else:
+                    new[key] = value
         return out
 
 
@@ -53,15 +57,16 @@ class Encoder:
     """Token ids of whole texts, as little-endian unsigned 32-bit numbers.
 
     The tokenizer drops white space and never merges across it, so ids are looked up by space-separated chunk. A plain
-    chunk not met before is put together from its runs of letters, digits and signs, between which the tokenizer does not
-    merge either; only runs not met before, and chunks that are not plain, go through the tokenizer.
+    chunk is put together from its runs of letters, digits and signs, between which the tokenizer does not merge either; only
+    runs not met before, and chunks that are not plain, go through the tokenizer. Chunks and runs are found and told apart for
+    many texts at once; every different one is looked up once, and the ids are put together by their places.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.chunks, self.runs = Memory(), Memory()
+        self.chunks, self.runs = Memory(_REMEMBERED // 4), Memory()
 
     def _made(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
         """Ids by the whole tokenizer."""
@@ -70,21 +75,56 @@ class Encoder:
             for text, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 yield text, struct.pack(f"<{len(got.ids)}I", *got.ids)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = self.chunks.missing(set().union(*split))
-        plain = [(w, _PIECE.findall(w.lower())) for w in new if _PLAIN.fullmatch(w)]
-        missing = self.runs.missing(set().union(*[r for _, r in plain]))
-        known, runs, merge = self.chunks.new, self.runs.new, self.tokenizer.model.tokenize
+    def _whole(self, chunks: list[str]) -> list[bytes]:
+        """Ids of different chunks that are not plain."""
+        missing = self.chunks.missing(chunks)
+        self.chunks.new.update(self._made(missing))
+        return [self.chunks.new[c] for c in chunks]
+
+    def _merged(self, runs: list[str]) -> list[bytes]:
+        """Ids of different runs."""
+        missing = self.runs.missing(runs)
+        known, merge, rest = self.runs.new, self.tokenizer.model.tokenize, []
         for run in missing:
             if run.isascii():  # stands for itself in a byte-level vocabulary, so only the merges are left to do
                 ids = [token.id for token in merge(run)]
-                runs[run] = struct.pack(f"<{len(ids)}I", *ids)
-        runs.update(self._made([r for r in missing if r not in runs]))
-        for chunk, parts in plain:
-            known[chunk] = runs[parts[0]] if len(parts) == 1 else b"".join([runs[r] for r in parts])
-        known.update(self._made([w for w in new if w not in known]))
-        return [b"".join([known[w] for w in words]) for words in split]
+                known[run] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                rest.append(run)
+        known.update(self._made(rest))
+        return [known[r] for r in runs]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        plain = pc.match_substring_regex(coded.dictionary, f"^{_PLAIN}$").to_numpy(zero_copy_only=False)
+        spaced = pc.replace_substring_regex(pc.utf8_lower(coded.dictionary.filter(pa.array(plain))), _RUN, r"\1 ")
+        parts = pc.split_pattern(pc.utf8_rtrim(spaced, " "), " ")
+        runs = parts.flatten().dictionary_encode()
+        ids, sizes = _gathered(runs.indices.to_numpy(), self._merged(runs.dictionary.to_pylist()))
+        others = self._whole(coded.dictionary.filter(pa.array(~plain)).to_pylist())
+        lengths, starts = np.empty(len(plain), np.int64), np.empty(len(plain), np.int64)
+        ends = np.concatenate(([0], np.cumsum(sizes)))[parts.offsets.to_numpy()]
+        starts[plain], lengths[plain] = ends[:-1], np.diff(ends)
+        lengths[~plain] = np.fromiter(map(len, others), np.int64, len(others)) >> 2
+        starts[~plain] = len(ids) + np.cumsum(lengths[~plain]) - lengths[~plain]
+        out, each = _placed(coded.indices.to_numpy(), np.concatenate((ids, np.frombuffer(b"".join(others), "<u4"))), starts, lengths)
+        bounds = (np.concatenate(([0], np.cumsum(each)))[split.offsets.to_numpy()] * 4).tolist()
+        whole = memoryview(out.tobytes())
+        return [bytes(whole[a:b]) for a, b in zip(bounds, bounds[1:])]
+
+
+def _placed(which: np.ndarray, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``flat`` that ``which`` names, one after the other, and how long each is."""
+    each = lengths[which]
+    before = np.cumsum(each) - each
+    return flat[np.arange(each.sum()) + np.repeat(starts[which] - before, each)], each
+
+
+def _gathered(which: np.ndarray, data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of ``data`` in the order that ``which`` gives, and how many each has."""
+    lengths = np.fromiter(map(len, data), np.int64, len(data)) >> 2
+    return _placed(which, np.frombuffer(b"".join(data), "<u4"), np.cumsum(lengths) - lengths, lengths)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -100,28 +140,42 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
            text: str = "text", ids: bool = False) -> DataFrame:
     """One row for each piece: the document's ids and the end id, cut every ``capacity`` ids.
 
-    A null or empty text is the end id alone. Repeated rows are packed each on their own; a null id stays null.
-    ``_row`` numbers the input rows. ``ids`` adds the ids themselves as a binary column.
+    A null or empty text is the end id alone. Repeated rows are packed each on their own; a null id stays null. A text of any
+    length is encoded whole; short ones are encoded some megabytes at a time. An empty table has no pieces. ``_row`` numbers
+    the input rows. ``ids`` adds the ids themselves as a binary column.
     """
-    small_batches(docs.sparkSession)
     whole = with_row(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")))
     schema = "_row long, doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if ids else "")
     step, last = 4 * capacity, np.asarray([end_id], "<u4").tobytes()
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
-        for batch in batches:
-            rows = []
-            for row, doc, data in zip(batch["_row"], batch["doc_id"], encode([t or "" for t in batch["text"]])):
-                data += last
-                for at in range(0, len(data), step):
-                    part = data[at : at + step]
-                    rows.append((row, doc, at // step, at // 4, len(part) // 4, zlib.crc32(part), *([part] if ids else [])))
-            out = pd.DataFrame(rows, columns=["_row", "doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if ids else [])])
-            out["doc_id"] = pd.array(out["doc_id"], dtype="Int64") if len(out) else out["doc_id"]
-            yield out
-
-    return whole.mapInPandas(cut, schema)
+        for whole_batch in batches:
+            for batch in _some_at_once(whole_batch):
+                of, numbers, starts, parts = [], [], [], []
+                for row, data in enumerate(encode(list(texts(batch)))):
+                    data += last
+                    for number, at in enumerate(range(0, len(data), step)):
+                        of.append(row)
+                        numbers.append(number)
+                        starts.append(at // 4)
+                        parts.append(data[at : at + step])
+                columns = [*[batch.column(c).take(pa.array(of, pa.int64())) for c in ("_row", "doc_id")], pa.array(numbers, pa.int32()), pa.array(starts, pa.int64()),
+                           pa.array([len(p) // 4 for p in parts], pa.int64()), pa.array([zlib.crc32(p) for p in parts], pa.int64())]
+                names = ["_row", "doc_id", "piece", "start", "length", "ids_crc32"]
+                yield pa.RecordBatch.from_arrays(columns + ([pa.array(parts, pa.binary())] if ids else []), names=names + (["ids"] if ids else []))
+
+    return whole.mapInArrow(cut, schema)
+
+
+def _some_at_once(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch whose texts make up some megabytes, at least one row at a time."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        upto = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + _AT_ONCE, "right")))
+        yield batch.slice(at, upto - at)
+        at = upto
 
 
 def _best_pair(lengths: list[int], room: int, counts: dict[int, int], least: int) -> tuple[int, int] | None:
@@ -235,5 +289,4 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             yield batch.assign(sequence_id=sequence, offset=offset)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema) + ", sequence_id long, offset long"
-    held.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     return ranked(held, "length").select(*held.columns, "_rank").mapInPandas(put, schema)
