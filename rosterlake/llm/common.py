@@ -38,6 +38,18 @@ def with_row(df: DataFrame, name: str = "_row") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def free(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame, name: str = "_row") -> DataFrame:
+    """Number the rows and write them, so that every later job reads the same numbers, however the cluster has changed."""
+    return stored(df.withColumn(name, F.monotonically_increasing_id()))
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write to the shared checkpoint folder and go on from the written rows."""
     return cut_lineage(df)

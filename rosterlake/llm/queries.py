@@ -34,7 +34,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = units.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = units.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), by="sentence")
     spans = F.array_join(F.transform("units.spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
     return out.select("doc_id", F.col("units.n_units").cast("long").alias("n_units"), F.col("units.n_removed").cast("long").alias("n_removed"),
                       spans.alias("removed_spans"), F.col("text").alias("kept_text"))
@@ -145,20 +145,31 @@ ORACLES: dict[str, str] = {
         FROM judged""",
     "op2_substring_dedup": f"""
         WITH docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
-        units AS (SELECT r, doc_id, string_split(coalesce(text, ''), chr(10)) AS u FROM docs),
-        placed AS (SELECT r, doc_id, unnest(u) AS unit, unnest(generate_series(1, len(u))) AS k FROM units),
-        spans AS (SELECT r, doc_id, k, unit, sum(length(unit) + 1) OVER (PARTITION BY r ORDER BY k) - length(unit) - 1 AS s FROM placed),
-        normal AS (SELECT r, doc_id, k, unit, s, s + length(unit) AS e, trim(regexp_replace(lower(unit), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS v FROM spans),
-        ranked AS (SELECT *, len(string_split(v, ' ')) >= {units.MIN_WORDS} AND v <> '' AS counted,
-                          row_number() OVER (PARTITION BY v ORDER BY doc_id NULLS LAST, r, s) AS nth FROM normal),
-        cut AS (SELECT r, count(*) FILTER (counted AND nth > 1) AS n_removed,
-                       string_agg(s::BIGINT || ':' || e::BIGINT, ',' ORDER BY s) FILTER (counted AND nth > 1) AS removed_spans,
-                       string_agg(unit, chr(10) ORDER BY k) FILTER (NOT (counted AND nth > 1)) AS kept_text
-                FROM ranked GROUP BY r)
-        SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN 0 ELSE len(string_split(text, chr(10))) END::BIGINT AS n_units,
-               n_removed::BIGINT AS n_removed, coalesce(removed_spans, '') AS removed_spans,
+        cut AS (SELECT r, doc_id, string_split(regexp_replace(regexp_replace(text, '([\\n。！？])', '\\1' || chr(1), 'g'),
+                                                              '([.!?])([ \\t])', '\\1' || chr(1) || '\\2', 'g'), chr(1)) AS u FROM docs WHERE text <> ''),
+        placed AS (SELECT r, doc_id, unnest(u) AS unit, unnest(generate_series(1, len(u))) AS k FROM cut),
+        pieces AS (SELECT *, length(v) >= {units.MIN_CHARS} AS own FROM (
+          SELECT *, sum(length(unit)) OVER (PARTITION BY r ORDER BY k) AS upto, trim(regexp_replace(lower(unit), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS v FROM placed)),
+        runs AS (SELECT *, sum(own::INT) OVER (PARTITION BY r ORDER BY k) AS run FROM pieces),
+        stretches AS (SELECT *, coalesce(sum(CASE WHEN own OR v = '' THEN 0 ELSE length(v) + 1 END) OVER (
+                        PARTITION BY r, run ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {units.TOGETHER} AS stretch FROM runs),
+        spans AS (SELECT r, doc_id, min(k) AS k, string_agg(unit, '' ORDER BY k) AS unit, max(upto) AS e, coalesce(string_agg(v, ' ' ORDER BY k) FILTER (v <> ''), '') AS v
+                  FROM stretches GROUP BY r, doc_id, run, own, stretch HAVING string_agg(unit, '') <> ''),
+        counted AS (SELECT r, doc_id, k, e - length(unit) AS s, v, row_number() OVER (PARTITION BY r ORDER BY k) AS i,
+                           sum(length(v) + 1) OVER (PARTITION BY r ORDER BY k) AS total FROM spans WHERE v <> ''),
+        lists AS (SELECT r, list(v ORDER BY i) AS vs, list_prepend(0, list(total ORDER BY i)) AS sums FROM counted GROUP BY r),
+        firsts AS (SELECT c.*, vs, sums, greatest(1, len(list_filter(sums, lambda x: x <= total - 1 - {units.CONTEXT}))) AS f FROM counted c JOIN lists USING (r)),
+        keyed AS (SELECT r, doc_id, k, s, CASE WHEN length(v) >= {units.MIN_CHARS} THEN v ELSE (i - f) || chr(2) || array_to_string(
+                           vs[f:CASE WHEN total - sums[f] > {units.CONTEXT} THEN i
+                                     ELSE greatest(i, least(len(vs), len(list_filter(sums, lambda x: x < {units.CONTEXT} + 1)))) END], chr(10)) END AS key FROM firsts),
+        gone AS (SELECT r, k FROM (SELECT r, k, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS LAST, r, s) AS nth FROM keyed) WHERE nth > 1),
+        kept AS (SELECT p.r, count(*) AS n_units, count(g.k) AS n_removed,
+                        string_agg((p.e - length(p.unit))::BIGINT || ':' || p.e::BIGINT, ',' ORDER BY p.k) FILTER (g.k IS NOT NULL) AS removed_spans,
+                        string_agg(p.unit, '' ORDER BY p.k) FILTER (g.k IS NULL) AS kept_text
+                 FROM spans p LEFT JOIN gone g ON p.r = g.r AND p.k = g.k GROUP BY p.r)
+        SELECT doc_id, coalesce(n_units, 0)::BIGINT AS n_units, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(removed_spans, '') AS removed_spans,
                CASE WHEN text IS NULL THEN NULL ELSE coalesce(kept_text, '') END AS kept_text
-        FROM docs JOIN cut USING (r)""",
+        FROM docs LEFT JOIN kept USING (r)""",
     "op4_line_dedup": f"""
         WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source, text, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
         placed AS (SELECT r, source, unnest(l) AS line, unnest(generate_series(1, len(l))) AS k FROM docs),
