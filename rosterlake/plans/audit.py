@@ -125,7 +125,7 @@ def apply_audit(spec: TableSpec, path: str, source: DataFrame, month: str, today
 
     start, end = audit_month(month, today)
     spark = source.sparkSession
-    stored = spark.read.parquet(path)
+    stored = tables.open_table(spark, path)
     found = audit_table(stored, source, spec, start, end)
     if plan:
         return found.counters

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.operators.keyed import DELETE_CAP, guarded_delete
-from rosterlake.sources.tables import MONTH, replace_table, rewrite_months
+from rosterlake.sources.tables import MONTH, open_table, replace_table, rewrite_months
 
 
 def purge(df: DataFrame, doomed: DataFrame, keys: Sequence[str], cap: int = DELETE_CAP) -> DataFrame:
@@ -22,7 +22,7 @@ def apply_purge(spark: SparkSession, path: str, doomed: DataFrame, keys: Sequenc
 
     A table partitioned by month keeps its partitions, and only those that hold a doomed row are rewritten.
     """
-    stored = spark.read.parquet(path)
+    stored = open_table(spark, path)
     kept = purge(stored, doomed, keys, cap)
     if plan:
         return kept

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterlake.session import cut_lineage
+from rosterlake.sources import swap
+from rosterlake.sources.files import Files
+from rosterlake.sources.swap import RowCountMismatch as RowCountMismatch  # noqa: PLC0414 - part of this module's interface
 from rosterlake.specs import TableSpec
 
 MONTH = "audit_month"
@@ -16,10 +18,6 @@ MONTH = "audit_month"
 NO_MONTH = "none"
 
 
-class RowCountMismatch(RuntimeError):
-    """A staged replacement does not hold the expected number of rows."""
-
-
 class TooManyRows(RuntimeError):
     """A delete would remove more rows than its cap allows."""
 
@@ -41,9 +39,10 @@ def month_bounds(df: DataFrame, start: date, end: date) -> Column:
 
 
 def write_table(df: DataFrame, path: str, spec: TableSpec, mode: str = "errorifexists") -> None:
-    """Write a table partitioned by month. Rows are spread inside a month, so that no month is one task or one file."""
+    """Write a table partitioned by month. Rows are dealt out by month first, and a large month to several tasks, so that
+    an append writes a few files for each month and not one for each month and task."""
     df = df if MONTH in df.columns else with_month(df, spec)
-    df.write.mode(mode).partitionBy(MONTH).parquet(path)
+    df.hint("rebalance", MONTH).write.mode(mode).partitionBy(MONTH).parquet(path)
 
 
 def append(df: DataFrame, path: str, spec: TableSpec | None = None) -> None:
@@ -60,24 +59,40 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).parquet(path)
 
 
-def _checked(df: DataFrame, expected: int | None, name: str) -> tuple[DataFrame, int]:
-    """A staged copy and its row count, refused when it is not the expected one."""
-    staged = cut_lineage(df)
-    found = staged.count()
-    if expected is not None and found != expected:
-        raise RowCountMismatch(f"{name}: staged {found} rows, expected {expected}; nothing was replaced")
-    return staged, found
+def open_table(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table, after finishing or undoing a replacement that an earlier job did not live to end."""
+    swap.recover(spark, path)
+    return spark.read.parquet(path)
+
+
+class SchemaChanged(RuntimeError):
+    """A stored table does not have the columns it is declared with."""
+
+
+def load(spark: SparkSession, folder: str, name: str, schema: T.StructType) -> DataFrame:
+    """A stored table by name, with its declared columns in their order and its month where it has one.
+
+    The schema is read from the files, not assumed: a column that is missing, new or of another type fails the load, before
+    any job can take nulls for values.
+    """
+    stored = open_table(spark, f"{folder.rstrip('/')}/{name}")
+    found = {f.name: f.dataType.simpleString() for f in stored.schema if f.name != MONTH}
+    wanted = {f.name: f.dataType.simpleString() for f in schema}
+    odd = [f"{c}: {found.get(c, 'missing')} where {wanted.get(c, 'nothing')} is declared" for c in {**wanted, **found} if found.get(c) != wanted.get(c)]
+    if odd:
+        raise SchemaChanged(f"{name}: " + "; ".join(odd))
+    return stored.select(*[F.col(f"`{c}`") for c in wanted], *([MONTH] if MONTH in stored.columns else []))
+
+
+def months(spark: SparkSession, path: str) -> list[str]:
+    """The months a stored table has partitions of, newest first, from the listing of its folder alone."""
+    names = Files(spark, path).names(path.rstrip("/"))
+    return sorted((n.partition("=")[2] for n in names if n.startswith(f"{MONTH}=") and n != f"{MONTH}={NO_MONTH}"), reverse=True)
 
 
 def rewrite_months(df: DataFrame, path: str, emptied: list[str], expected: int | None = None) -> int:
     """Replace the months that ``df`` holds and remove the ``emptied`` ones, from a staged copy with a checked count."""
-    staged, found = _checked(df, expected, path)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
-    spark = df.sparkSession
-    for month in emptied:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MONTH}={month}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    return found
+    return swap.replace(df.hint("rebalance", MONTH), path, MONTH, emptied, expected)
 
 
 def replace_months(df: DataFrame, path: str, spec: TableSpec, expected: int | None = None) -> int:
@@ -91,5 +106,4 @@ def replace_months(df: DataFrame, path: str, spec: TableSpec, expected: int | No
 
 def replace_table(df: DataFrame, path: str, expected: int | None = None) -> None:
     """Rewrite a whole table from a staged copy with a checked row count; ``df`` may read the same folder."""
-    staged, _ = _checked(df, expected, path)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    swap.replace(df, path, None, expected=expected)

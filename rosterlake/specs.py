@@ -234,3 +234,6 @@ SCORE_SCHEMA = T.StructType([
     T.StructField("key_signal", T.StringType()),
     T.StructField("updated_date", T.DateType()),
 ])
+
+#: Every stored table with the columns it is declared with.
+STORED: dict[str, T.StructType] = {**{spec.name: spec.schema for spec in ALL_SPECS}, "scores": SCORE_SCHEMA}
