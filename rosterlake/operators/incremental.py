@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from rosterlake.functions.dates import last_finished_day
 from rosterlake.operators.filters import drop_junk, in_month
+from rosterlake.sources.key_index import KeyIndex
 from rosterlake.specs import TableSpec
 
 #: How far the lookup of stored keys reaches beyond the window.
@@ -115,25 +116,33 @@ def new_rows(source: DataFrame, stored: DataFrame, spec: TableSpec, candidates:
     return with_keys(source, spec).join(held, names, "left_anti").drop(*names)
 
 
-def append_rows(batch: DataFrame, stored: DataFrame, spec: TableSpec, order: list[Column] | None = None) -> DataFrame:
-    """First row per key of ``batch`` that is not stored. Ties are broken by the whole row."""
+def append_rows(batch: DataFrame, stored: DataFrame | None, spec: TableSpec, order: list[Column] | None = None,
+                held: DataFrame | None = None) -> DataFrame:
+    """First row per key of ``batch`` that is not stored. Ties are broken by the whole row.
+
+    ``held`` are stored keys, as ``key_frame`` names them, where a list of them is at hand; then ``stored`` is not read.
+    """
     names = key_names(spec)
     whole_row = [F.col(f"`{c}`") for c in spec.names]
     first = keep_first(with_keys(batch, spec), [F.col(n) for n in names], (order or []) + whole_row)
-    return first.join(existing_keys(batch, stored, spec), names, "left_anti").drop(*names)
+    known = existing_keys(batch, stored, spec) if held is None else held
+    return first.join(known, names, "left_anti").drop(*names)
 
 
 def incremental_append(source: DataFrame, stored: DataFrame, spec: TableSpec, span: tuple[date, date],
-                       order: list[Column] | None = None, strict_reference: bool = False) -> DataFrame:
+                       order: list[Column] | None = None, strict_reference: bool = False,
+                       index: KeyIndex | None = None) -> DataFrame:
     """Rows of the span to append: in the span, first per key, not stored.
 
     ``strict_reference`` keeps duplicates that arrive in the same fetch window. Keys that hold the date are looked up
-    in the stored rows of the buffered span only, id keys in all stored rows.
+    in the stored rows of the buffered span only, id keys in all stored rows, or in the buckets of an ``index``.
     """
     start, end = span
     batch = in_month(source, spec, start, end)
     if spec.date_column in spec.keys:
         stored = in_month(stored, spec, *buffered(start, end))
+    elif index is not None and not strict_reference:
+        return append_rows(batch, None, spec, order, held=index.held(key_frame(batch, spec)))
     if strict_reference:
         return new_rows(first_fetch(batch, spec, start), stored, spec, candidates=batch)
     return append_rows(batch, stored, spec, order)

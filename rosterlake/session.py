@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 #: Settings that hold for every job, at any size. Partition counts are left to AQE.
 DEFAULTS = {
@@ -57,3 +59,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(wanted)
     return df.checkpoint(eager=True)
+
+
+def observed(observation: Observation, name: str = "n") -> int:
+    """A count that was taken while a query ran. Where nothing at all came through, the query may have been cut short together
+    with what observes it; Spark then has no row of metrics."""
+    try:
+        return observation.get[name]
+    except Py4JJavaError as error:
+        if "java.lang.AssertionError" in str(error.java_exception):
+            return 0
+        raise
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table to the shared folder and go on from there. Unlike a checkpoint this is a query that ends, so
+    that what ``df`` observes is known afterwards."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -52,5 +52,10 @@ def run_record(df: DataFrame, job: str, imported: Column, issue: Column | None =
     )
 
 
+def counted_run(spark: SparkSession, job: str, imported: int, ignored: int) -> DataFrame:
+    """The record of a run whose counts were taken while its rows were written."""
+    return spark.createDataFrame([(job, "completed", imported, ignored, None)], RUN_SCHEMA)
+
+
 def failed_run(spark: SparkSession, job: str, error: str) -> DataFrame:
     return spark.createDataFrame([(job, "problem", 0, 0, error)], RUN_SCHEMA)

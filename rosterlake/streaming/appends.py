@@ -5,33 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
+from rosterlake.operators import incremental as I
 from rosterlake.operators.filters import in_month
-from rosterlake.operators.incremental import append_rows, buffered
 from rosterlake.session import cut_lineage
 from rosterlake.sources import tables
+from rosterlake.sources.files import Files
+from rosterlake.sources.key_index import KeyIndex
 from rosterlake.specs import TableSpec
 
 
+def key_index(spark: SparkSession, path: str, spec: TableSpec) -> KeyIndex:
+    """The list of keys of a stored table, made or mended if need be."""
+    index = KeyIndex(spark, path, I.key_names(spec))
+    index.ready(I.with_keys(stored_rows(spark, path, spec), spec))
+    return index
+
+
+def stored_rows(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    """The rows of a table, none where there is no table yet. Whatever else keeps a table from being read fails."""
+    if not Files(spark, path).exists(path):
+        return spark.createDataFrame([], spec.schema)
+    return tables.open_table(spark, path)
+
+
 def append_batch(batch: DataFrame, path: str, spec: TableSpec) -> None:
     """Append the rows of one micro-batch whose key the table does not hold. Running a batch again adds nothing.
 
     Of equal keys in a batch the first whole row stays. The batch is written once before it is looked at twice. Where
     the key holds the day, only the stored months around the days of the batch are read (its span, one row, comes to
-    the driver); a batch with a day that cannot be read looks everywhere.
+    the driver); a batch with a day that cannot be read looks everywhere. Keys without a day are looked up in a list of
+    the stored keys, in the buckets of the batch's own.
     """
     spark = batch.sparkSession
     held = cut_lineage(batch)
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException:  # the first batch finds no table
-        stored = spark.createDataFrame([], spec.schema)
     if spec.date_column in spec.keys:
+        stored = stored_rows(spark, path, spec)
         span = held.agg(F.min(spec.day()), F.max(spec.day()), F.count_if(spec.day().isNull())).first()
         if span[0] is not None and not span[2]:
-            stored = in_month(stored, spec, *buffered(span[0], span[1]))
-    tables.append(append_rows(held, stored, spec), path, spec)
+            stored = in_month(stored, spec, *I.buffered(span[0], span[1]))
+        tables.append(I.append_rows(held, stored, spec), path, spec)
+        return
+    index = key_index(spark, path, spec)
+    new = cut_lineage(I.append_rows(held, None, spec, held=index.held(I.key_frame(held, spec))))
+    index.begin()
+    tables.append(new, path, spec)
+    index.add(I.with_keys(new, spec))
 
 
 def stream_append(stream: DataFrame, spec: TableSpec, path: str, checkpoint: str) -> StreamingQuery:
