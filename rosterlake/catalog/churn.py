@@ -308,7 +308,7 @@ def _known(spark, inputs: tuple[str, ...], weights: tuple[tuple[float, ...], flo
     only, base = Matrices.dense(1, len(inputs), list(weights[0])), Vectors.dense([weights[1]])
     fit = LogisticRegression(maxIter=5, standardization=False, lowerBoundsOnCoefficients=only, upperBoundsOnCoefficients=only,
                              lowerBoundsOnIntercepts=base, upperBoundsOnIntercepts=base)
-    return Pipeline(stages=[VectorAssembler(inputCols=[f"in_{c}" for c in inputs], outputCol="features"), fit]).fit(rows)
+    return S.without_summary(Pipeline(stages=[VectorAssembler(inputCols=[f"in_{c}" for c in inputs], outputCol="features"), fit]).fit(rows), spark)
 
 
 def known(spark) -> S.Models:

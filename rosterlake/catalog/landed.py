@@ -22,8 +22,6 @@ from rosterlake.session import checkpoint_dir
 from rosterlake.sources import entities, reports, tables, uploads
 
 FT, SALES = specs.FIRST_TIMERS_TEXT, specs.SALES_TEXT
-#: Files that a report is landed in, one envelope each.
-FILES = 32
 
 
 def _home(t: Tables) -> str:
@@ -31,18 +29,14 @@ def _home(t: Tables) -> str:
 
 
 def land(t: Tables, spec: specs.TableSpec, path: str) -> None:
-    """The report of a table as JSON files, each one envelope with its headers and many rows."""
+    """The report of a table as files of envelopes, each with its headers and a page of rows."""
     view, cells = SOURCES[spec]
-    rows = getattr(t, view).select(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in cells]).alias("row"))
-    filled = F.transform("row", lambda c: F.when(c != "\u0000", c))
-    filed = rows.groupBy(F.pmod(F.xxhash64("row"), F.lit(FILES)).alias("file")).agg(F.collect_list(filled).alias("rows"))
-    out = filed.select(F.array(*[F.lit(h) for h in spec.headers]).alias("headers"), "rows")
-    out.write.option("maxRecordsPerFile", 1).option("ignoreNullFields", False).json(path)
+    reports.write_report(getattr(t, view).select(F.array(*[F.col(c).cast("string") for c in cells]).alias("row")), spec.headers, path)
 
 
 def landed_report(t: Tables, spec: specs.TableSpec, home: str) -> DataFrame:
     land(t, spec, f"{home}/report")
-    return reports.read_table_report(t.spark, f"{home}/report", spec)
+    return reports.read_table_report(t.spark, f"{home}/report", spec, lines=True)
 
 
 def _sync(t: Tables, spec: specs.TableSpec, plan: bool) -> DataFrame:
@@ -95,7 +89,7 @@ def _csv(t):
     path = f"{_home(t)}/upload"
     headers = R.DEFAULT_HEADERS
     named = t.ratings_upload.select(*[F.col(c).alias(f" {h.upper()} ") for c, h in reversed(headers.items())])
-    (named.repartition(4).write.option("header", True).option("quoteAll", True).option("escape", '"').option("emptyValue", "")
+    (named.write.option("header", True).option("quoteAll", True).option("escape", '"').option("emptyValue", "")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return uploads.read_mapped_csv(t.spark, path, headers)
 
@@ -108,9 +102,9 @@ def _paged(t):
     fields = [f.name for f in entities.USER["attributes"].dataType.fields]
     users = t.users.select(F.col("user_id").cast("string").alias("id"), F.struct(*[
         F.col(c) if c == "marketing_opt_in" else F.col(c).cast("string").alias(c) for c in fields]).alias("attributes"))
-    pages = users.groupBy(F.pmod(F.xxhash64("id"), F.lit(FILES)).alias("page")).agg(F.collect_list(F.struct("id", "attributes")).alias("data"))
-    pages.select("data").write.option("maxRecordsPerFile", 1).json(path)
-    return entities.read_entities(t.spark, path, entities.USER).select("id", "email", "first_name", "full_name", "date_joined", "marketing_opt_in")
+    entities.write_entities(users, path)
+    return entities.read_entities(t.spark, path, entities.USER, lines=True).select(
+        "id", "email", "first_name", "full_name", "date_joined", "marketing_opt_in")
 
 
 def _two(t: Tables):

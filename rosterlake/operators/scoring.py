@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date
 
@@ -9,12 +10,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from rosterlake.functions import dates as D
 from rosterlake.operators import activity as A
 from rosterlake.operators.filters import credit_population, in_credit_population, reachable
+from rosterlake.session import checkpoint_dir
 
 # Tier thresholds per population and the days a credit pack lasts.
 THRESHOLDS = {"membership": (0.55, 0.35), "credit": (0.53, 0.35)}
@@ -143,6 +146,9 @@ def tier_counts(scores: DataFrame) -> DataFrame:
     return scores.groupBy("population", "tier").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Weight of the penalty on standardised coefficients.
+REGULARIZATION = 0.01
+
 # --- models ---------------------------------------------------------------------------------------------------------
 
 
@@ -161,11 +167,50 @@ def model_inputs(df: DataFrame, inputs: tuple[str, ...]) -> DataFrame:
 
 
 def fit_churn(training: DataFrame, inputs: tuple[str, ...], label: str = "label") -> PipelineModel:
-    """A logistic regression over the feature columns; gradients are summed on executors."""
+    """A logistic regression over the feature columns; gradients are summed on executors. It is fitted until it stands still:
+    what is scored then does not depend on where the steps began."""
     assembler = VectorAssembler(inputCols=[f"in_{c}" for c in inputs], outputCol="features")
     # the regression is fitted with treeAggregate, so the driver holds only one gradient of the width of the inputs
-    fit = LogisticRegression(featuresCol="features", labelCol=label, maxIter=20, regParam=0.01)
-    return Pipeline(stages=[assembler, fit]).fit(model_inputs(training, inputs))
+    fit = LogisticRegression(featuresCol="features", labelCol=label, maxIter=200, tol=1e-9, regParam=REGULARIZATION)
+    return without_summary(Pipeline(stages=[assembler, fit]).fit(model_inputs(training, inputs)), training.sparkSession)
+
+
+def without_summary(model: PipelineModel, spark: SparkSession) -> PipelineModel:
+    """The model as it reads back once stored. A fresh one carries a summary that holds on to its session, and a session that
+    has observed a count cannot be sent to executors."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    model.write().save(path)
+    return PipelineModel.load(path)
+
+
+def split_by_time(df: DataFrame, at: str, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """Rows up to the day by which ``share`` of them have come, and the later ones: a model is judged on days it has not seen.
+    The day is read off the counts of days, one row each; rows without a day are in neither part."""
+    days = df.where(F.col(at).isNotNull()).groupBy(F.col(at).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.orderBy("day"))
+    total = days.agg(F.sum("n")).first()[0] or 0
+    cut = days.withColumn("upto", upto).where(F.col("upto") >= share * total).agg(F.min("day")).first()[0]
+    return df.where(F.col(at) <= F.lit(cut)), df.where(F.col(at) > F.lit(cut))
+
+
+def calibrate(scored: DataFrame, prob: str = "churn_prob", label: str = "label", precision: float = 0.6, recall: float = 0.8, bins: int = 1_000
+              ) -> tuple[float, float]:
+    """Thresholds of the two risk tiers from held-out rows: the smallest probability from which on at least ``precision`` of the
+    rows have the label (critical), and the largest, not above it, from which on at least ``recall`` of all labelled rows are
+    (watch). Probabilities are counted in ``bins``, so the counts are as many whatever the number of rows."""
+    at = F.least(F.floor(F.col(prob) * bins), F.lit(bins - 1)).cast("int")
+    counts = {r["bin"]: (r["n"], r["hits"]) for r in scored.where(F.col(prob).isNotNull()).groupBy(at.alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("hits")).collect()}  # a row a bin
+    total = sum(h for _, h in counts.values())
+    critical, watch, n, hits = 1.0, None, 0, 0
+    for b in range(bins - 1, -1, -1):
+        more, own = counts.get(b, (0, 0))
+        n, hits = n + more, hits + own
+        if more and hits >= precision * n:
+            critical = b / bins
+        if watch is None and total and hits >= recall * total:
+            watch = b / bins
+    return critical, min(critical, watch if watch is not None else critical)
 
 
 def save_models(models: Models, folder: str) -> None:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rosterlake.sources.reports import PAGE, paged
+
 _REF = T.StructType([T.StructField("id", T.StringType())])
 _ONE = T.StructType([T.StructField("data", _REF)])
 _MANY = T.StructType([T.StructField("data", T.ArrayType(_REF))])
@@ -73,7 +75,12 @@ def flatten_entities(pages: DataFrame, schema: T.StructType) -> DataFrame:
     return item.select(*columns)
 
 
-def read_entities(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """Read a folder of pages. Pages are files, so a folder of any size is spread over tasks."""
+def read_entities(spark: SparkSession, path: str | list[str], schema: T.StructType, lines: bool = False) -> DataFrame:
+    """Read a folder of pages. Pages are files, or with ``lines`` lines of files, so a folder of any size is spread over tasks."""
     page = T.StructType([T.StructField("data", T.ArrayType(schema))])
-    return flatten_entities(spark.read.schema(page).option("multiLine", True).json(path), schema)
+    return flatten_entities(spark.read.schema(page).option("multiLine", not lines).json(path), schema)
+
+
+def write_entities(entities: DataFrame, path: str, page: int = PAGE) -> None:
+    """Land entities (``id``, ``attributes`` and what else they have) as pages of at most ``page``, one a line."""
+    paged(entities, F.struct(*entities.columns), page, "data").write.json(path)

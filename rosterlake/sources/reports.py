@@ -14,9 +14,30 @@ REPORT_SCHEMA = T.StructType([
 ])
 
 
-def read_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per landed file, with its headers and its rows; numbers and flags arrive as text."""
-    return spark.read.schema(REPORT_SCHEMA).option("multiLine", True).json(path)
+#: Rows of one envelope: a page of the report.
+PAGE = 500
+
+
+def read_report(spark: SparkSession, path: str | list[str], lines: bool = False) -> DataFrame:
+    """One row per envelope, with its headers and its rows; numbers and flags arrive as text. An envelope is a file, or with
+    ``lines`` a line of one, so that a file of any size is read by many tasks."""
+    return spark.read.schema(REPORT_SCHEMA).option("multiLine", not lines).json(path)
+
+
+def paged(df: DataFrame, entry: Column, page: int = PAGE, name: str = "rows") -> DataFrame:
+    """The entries of ``df`` as arrays of at most ``page``, in order. Rows are counted inside their partition, so that arrays grow
+    in number with the input and never in size."""
+    numbered = df.select(entry.alias("entry")).withColumn("_at", F.monotonically_increasing_id())
+    at, within = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    held = numbered.groupBy(at.alias("_part"), F.floor(within / page).alias("_page")).agg(F.array_sort(F.collect_list(F.struct("_at", "entry"))).alias("_held"))
+    return held.select(F.col("_held.entry").alias(name))
+
+
+def write_report(rows: DataFrame, headers: tuple[str, ...], path: str, page: int = PAGE) -> None:
+    """Land rows (one column, an array of cells) as a report: envelopes of at most ``page`` rows, one a line."""
+    (cells,) = rows.columns
+    out = paged(rows, F.col(cells), page).select(F.array(*[F.lit(h) for h in headers]).alias("headers"), "rows")
+    out.write.option("ignoreNullFields", False).json(path)
 
 
 def assert_headers(reports: DataFrame, spec: TableSpec) -> DataFrame:
@@ -57,10 +78,10 @@ def raw_name(header: str) -> str:
     return f"raw_{snake_name(header)}"
 
 
-def read_table_report(spark: SparkSession, path: str | list[str], spec: TableSpec, keep_raw: tuple[str, ...] = ()
+def read_table_report(spark: SparkSession, path: str | list[str], spec: TableSpec, keep_raw: tuple[str, ...] = (), lines: bool = False
                       ) -> DataFrame:
     """Landed files -> checked, mapped rows of ``spec``."""
-    return map_report(report_rows(assert_headers(read_report(spark, path), spec)), spec, keep_raw)
+    return map_report(report_rows(assert_headers(read_report(spark, path, lines), spec)), spec, keep_raw)
 
 
 def pick_columns(reports: DataFrame, wanted: dict[str, str]) -> DataFrame:
