@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterlake.llm.common import small_batches, texts, with_row
+from rosterlake.llm.common import free, numbered, small_batches, texts, with_row
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -162,8 +162,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     that is listed twice is reported once, different texts under one id are looked for and reported one by one. Items
     without an id are looked for with ``nameless``, and reported with a null one.
     """
-    small_batches(docs.sparkSession)
-    whole = with_row(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")))
+    whole = with_row(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")))
+    return _leaks(whole, benchmark, item_id, item_text, radius, threshold, items, nameless)
+
+
+def _leaks(whole: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, radius: int, threshold: float, items: int, nameless: bool) -> DataFrame:
+    small_batches(whole.sparkSession)
     schema = "_row long, doc_id long, item_id long, first_word int, n_words int, similarity double"
     listed = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).cast("string").alias("text")).filter("text IS NOT NULL")
     listed = (listed if nameless else listed.filter("id IS NOT NULL")).distinct()
@@ -199,8 +203,12 @@ def _pass(items: list[tuple[int | None, str]], radius: int, threshold: float):
     return search
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows in which an item was found, items without an id included. ``docs`` must be a table scan or
-    staged."""
-    rows = leaks(docs, benchmark, nameless=True, **options).select("_row").distinct()
-    return with_row(docs).join(rows, "_row", "left_anti").drop("_row")
+def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
+          radius: int = RADIUS, threshold: float = SIMILARITY, items: int = ITEMS) -> DataFrame:
+    """``docs`` without the rows in which an item was found, items without an id included. Columns of any name come through.
+    Rows are numbered and written once, so that the rows that go are the rows that were searched."""
+    row = free(docs, "_row")
+    whole = numbered(docs, row)
+    looked = whole.select(F.col(row).alias("_row"), F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    rows = _leaks(looked, benchmark, item_id, item_text, radius, threshold, items, True).select(F.col("_row").alias(row)).distinct()
+    return whole.join(rows, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

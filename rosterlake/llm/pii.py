@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterlake.llm.common import text_or_empty
+from rosterlake.llm.common import free, text_or_empty
 
 SPAN = "struct<kind:string,start:long,end:long,hit:string,score:int>"
 
@@ -130,14 +130,14 @@ def find_spans(docs: DataFrame, text: str = "text", into: str = "spans") -> Data
     reach ``THRESHOLD`` and must not overlap a base span. Null and empty texts have no spans. Repeated rows each get
     theirs. A column named like ``into`` is replaced, all others pass through.
     """
-    whole = text_or_empty(text)
-    found = docs.withColumn("_text", whole)
+    whole, first, more = free(docs, "_text"), free(docs, "_base"), free(docs, "_added")
+    found = docs.withColumn(whole, text_or_empty(f"`{text}`"))
     base = [k for k in KINDS if k.name in BASE]
     added = [k for k in KINDS if k.name not in BASE]
-    found = found.withColumn("_base", F.concat(*[_spans(F.col("_text"), k) for k in base]))
-    found = found.withColumn("_added", F.concat(*[_spans(F.col("_text"), k) for k in added]))
-    clear = F.filter("_added", lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return found.withColumn(into, F.concat("_base", clear)).drop("_text", "_base", "_added")
+    found = found.withColumn(first, F.concat(*[_spans(F.col(whole), k) for k in base]))
+    found = found.withColumn(more, F.concat(*[_spans(F.col(whole), k) for k in added]))
+    clear = F.filter(more, lambda s: ~F.exists(first, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    return found.withColumn(into, F.concat(first, clear)).drop(whole, first, more)
 
 
 def redact(text: Column, spans: Column) -> Column:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterlake.llm.common import SPACES, small_batches
+from rosterlake.llm.common import SPACES, free, small_batches
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper_words", "n_marks")
 SYMBOLS = "#*$%&|<>"
@@ -82,12 +82,12 @@ def measurements(text: str | None) -> tuple[int, ...]:
     )
 
 
-def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with a struct ``ledger``: the measurements and ``failures``, a bit for each rule that fails.
+def ledger(docs: DataFrame, text: str = "text", into: str = "ledger") -> DataFrame:
+    """``docs`` with a struct ``into``: the measurements and ``failures``, a bit for each rule that fails.
 
     One narrow pass over the texts and no shuffle. Null and empty texts measure zero everywhere and fail ``few_words``.
-    Repeated rows each get their own entry; every other column, whatever its name, is passed through, but a column
-    named ``ledger`` is replaced.
+    Texts of any length are measured whole; an empty table gives an empty ledger. Repeated rows each get their own entry;
+    every other column, whatever its name, is passed through, but a column named as ``into`` is replaced.
     """
     small_batches(docs.sparkSession)
 
@@ -95,15 +95,15 @@ def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     def taken(column: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([measurements(t) for t in column], columns=list(MEASURES), dtype="int64")
 
-    measured = docs.withColumn("ledger", taken(F.col(text).cast("string")))
+    measured = docs.withColumn(into, taken(F.col(f"`{text}`").cast("string")))
 
     def measure(name: str) -> Column:
-        return F.col(f"ledger.{name}")
+        return F.col(f"`{into}`.{name}")
 
     failures = F.lit(0).cast("long")
     for rule in RULES:
         failures = failures.bitwiseOR(F.when(rule.fails(measure), F.lit(1 << rule.bit)).otherwise(F.lit(0)).cast("long"))
-    return measured.withColumn("ledger", F.struct(*[measure(m).alias(m) for m in MEASURES], failures.alias("failures")))
+    return measured.withColumn(into, F.struct(*[measure(m).alias(m) for m in MEASURES], failures.alias("failures")))
 
 
 def passes(policy: str = CURRENT, failures: str = "ledger.failures") -> Column:
@@ -113,8 +113,8 @@ def passes(policy: str = CURRENT, failures: str = "ledger.failures") -> Column:
 
 def apply_policy(docs: DataFrame, policy: str = CURRENT, text: str = "text") -> DataFrame:
     """The documents a policy keeps, with the columns they came with."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return ledger(docs, text).filter(passes(policy)).select(*columns)
+    into = free(docs, "ledger")
+    return ledger(docs, text, into).filter(passes(policy, f"{into}.failures")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def ablations(entries: DataFrame, policies: dict[str, int] | None = None) -> DataFrame:

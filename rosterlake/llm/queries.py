@@ -174,9 +174,10 @@ ORACLES: dict[str, str] = {
         WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source, text, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
         placed AS (SELECT r, source, unnest(l) AS line, unnest(generate_series(1, len(l))) AS k FROM docs),
         trimmed AS (SELECT *, trim(line, {_BLANKS}) AS v FROM placed),
-        pages AS (SELECT source, count(*) AS pages FROM docs GROUP BY source),
-        often AS (SELECT t.source, t.v FROM trimmed t JOIN pages p ON t.source IS NOT DISTINCT FROM p.source WHERE t.v <> ''
-                  GROUP BY t.source, t.v, p.pages
+        first AS (SELECT source, min(r) AS r FROM docs GROUP BY source, coalesce(text, '')),
+        pages AS (SELECT source, count(*) AS pages FROM first GROUP BY source),
+        often AS (SELECT t.source, t.v FROM trimmed t JOIN first f ON t.r = f.r JOIN pages p ON t.source IS NOT DISTINCT FROM p.source
+                  WHERE t.v <> '' GROUP BY t.source, t.v, p.pages
                   HAVING count(DISTINCT t.r) >= {lines.MIN_PAGES} AND count(DISTINCT t.r) > p.pages * {lines.RATIO}::DOUBLE),
         marked AS (SELECT t.*, o.v IS NOT NULL AS gone FROM trimmed t LEFT JOIN often o ON t.source IS NOT DISTINCT FROM o.source AND t.v = o.v),
         kept AS (SELECT r, string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone) AS kept_text FROM marked GROUP BY r)

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterlake.llm.common import small_batches, staged, with_row
+from rosterlake.llm.common import free, numbered, small_batches, staged, with_row
 
 RADIUS = 2
 SHINGLE = 3
@@ -203,10 +203,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     can be reached over fingerprints within ``radius`` bits.
 
     Null and empty texts have fingerprint zero and link like any other. A null id is never the smallest; a component
-    whose ids are all null has a null id. Repeated rows and repeated ids keep a row each. Other columns are not read. An
-    empty table gives an empty result.
+    whose ids are all null has a null id. Repeated rows and repeated ids keep a row each. Texts of any length are
+    fingerprinted whole. Other columns are not read. An empty table gives an empty result.
     """
-    whole = with_row(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")))
+    return _linked(with_row(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))), shingle, radius)
+
+
+def _linked(whole: DataFrame, shingle: int, radius: int) -> DataFrame:
     rows = staged(fingerprints(whole, shingle).drop("text"))
     nodes = staged(rows.groupBy("_fp").agg(F.min("doc_id").alias("_least")))
     linked = components(forests(nodes.select("_fp"), radius))
@@ -224,8 +227,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each component: the smallest id, and of repeated rows with that id the first.
 
-    ``docs`` must be a table scan or staged, so that rows number alike in both passes."""
-    marked = near_duplicates(docs, shingle, radius, doc_id, text)
+    Columns of any name come through. Rows are numbered and written once, so that the rows kept are the rows that were
+    compared, whatever becomes of the cluster in between."""
+    row = free(docs, "_row")
+    whole = numbered(docs, row)
+    marked = _linked(whole.select(F.col(row).alias("_row"), F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")), shingle, radius)
     ranked = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_row"))
-    kept = marked.groupBy("component_fingerprint").agg(F.min(ranked).alias("_kept")).select(F.col("_kept._row").alias("_row"))
-    return with_row(docs).join(kept, "_row", "left_semi").drop("_row")
+    kept = marked.groupBy("component_fingerprint").agg(F.min(ranked).alias("_kept")).select(F.col("_kept._row").alias(row))
+    return whole.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

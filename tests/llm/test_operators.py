@@ -46,7 +46,8 @@ def empty(spark):
 
 def clashing(df):
     """Extra columns with names that operators use inside."""
-    return df.withColumns({c: F.lit(7) for c in ("start", "length", "n", "spans", "hit", "bytes", "kind", "size", "score", "key")})
+    return df.withColumns({c: F.lit(7) for c in ("start", "length", "n", "spans", "hit", "bytes", "kind", "size", "score", "key",
+                                                      "_row", "_gone", "_drops", "_text", "_base", "_added", "_rest", "ledger_")})
 
 
 def by_text(rows):
@@ -189,9 +190,10 @@ def test_substrings_of_nothing(empty):
 
 
 def slow_lines(rows, ratio, least):
-    pages, often = Counter(r["source"] for r in rows), Counter()
-    for r in rows:
-        often.update({(r["source"], x.strip(lines.SPACES)) for x in (r["text"] or "").split("\n") if x.strip(lines.SPACES)})
+    different = {(r["source"], r["text"] or "") for r in rows}
+    pages, often = Counter(source for source, _ in different), Counter()
+    for source, text in different:
+        often.update({(source, x.strip(lines.SPACES)) for x in text.split("\n") if x.strip(lines.SPACES)})
     drop = {k for k, n in often.items() if n >= least and n > ratio * pages[k[0]]}
     return Counter((r["doc_id"], None if r["text"] is None else "\n".join(
         x for x in r["text"].split("\n") if (r["source"], x.strip(lines.SPACES)) not in drop)) for r in rows)

@@ -23,10 +23,10 @@ def brute_force(spark, folder):
 
     docs = [d for d in docs if passes(d["text"])]
     pages, often = {}, {}
-    for d in docs:
-        pages[d["source"]] = pages.get(d["source"], 0) + 1
-        for x in {x.strip(lines.SPACES) for x in d["text"].split("\n")} - {""}:
-            often[d["source"], x] = often.get((d["source"], x), 0) + 1
+    for source, text in {(d["source"], d["text"]) for d in docs}:
+        pages[source] = pages.get(source, 0) + 1
+        for x in {x.strip(lines.SPACES) for x in text.split("\n")} - {""}:
+            often[source, x] = often.get((source, x), 0) + 1
     gone = {k for k, n in often.items() if n >= lines.MIN_PAGES and n > pages[k[0]] * lines.RATIO}
     for d in docs:
         d["text"] = "\n".join(x for x in d["text"].split("\n") if (d["source"], x.strip(lines.SPACES)) not in gone)
@@ -56,6 +56,23 @@ def test_pipeline_matches_brute_force(spark):
     assert len({r["sequence_id"] for r in rows}) <= total / 2048 * 1.05 + 1
 
 
+def test_columns_of_any_name_come_through_every_stage(spark, tmp_path):
+    """Names that operators use inside, and splits that change between jobs."""
+    from pyspark.sql import functions as F
+
+    names = ("_row", "_row_", "_gone", "_drops", "_text", "_fp", "_kept", "ledger", "ledger_", "_page", "_keys", "key", "_least")
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    docs.withColumns({c: F.col("doc_id") * 3 + i for i, c in enumerate(names)}).repartition(5).write.parquet(str(tmp_path / "d"))
+    more = spark.read.parquet(str(tmp_path / "d"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, more, FOLDER)
+        assert out.columns == more.columns
+        plain = {(r["doc_id"], r["text"]) for r in stage(spark, docs, FOLDER).collect()}
+        rows = out.collect()
+        assert {(r["doc_id"], r["text"]) for r in rows} == plain
+        assert all(r[c] == r["doc_id"] * 3 + i for r in rows for i, c in enumerate(names))
+
+
 def test_stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "decontamination", "best_fit_packing"]
