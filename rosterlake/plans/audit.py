@@ -49,14 +49,26 @@ def find_missing(stored: DataFrame, spec: TableSpec, start: date, end: date) ->
     return sorted(r["d"] for r in Q.missing_dates(stored, spec, start, end).collect())
 
 
+def around(stored: DataFrame, spec: TableSpec, start: date, end: date) -> DataFrame:
+    """The stored rows that an audit of the range looks at: its days, the days its backfill looks keys up in, and rows whose day
+    cannot be read. Of a table that is partitioned by month only these partitions are scanned."""
+    near = I.buffered(start, end, after=I.LATE_DAYS)
+    scope = tables.month_bounds(stored, *near)
+    if tables.MONTH in stored.columns:
+        scope = scope | (F.col(tables.MONTH) == tables.NO_MONTH)
+    return stored.where(scope & (F.coalesce(spec.within(*near), F.lit(False)) | spec.day().isNull()))
+
+
 def audit_table(stored: DataFrame, source: DataFrame, spec: TableSpec, start: date, end: date) -> Audit:
     """The ordered repair of one month: read gaps, fix formats, count and remove duplicates, backfill.
 
-    One pass over the month brings its days and format counts to the driver (a single row). With the missing days as
-    literals, the backfill is skipped when there are none and reads only their months when there are some. Duplicates
-    are counted after the repair, since two copies of a row may differ only in how they write a date. Nothing is
-    written.
+    The rows that matter, those of the month and of some days around it and those without a readable day, are read once and
+    staged; everything else is taken from them. One pass brings the month's days and format counts to the driver (a single row).
+    With the missing days as literals, the backfill is skipped when there are none and reads only their months of the source
+    when there are some. Duplicates are counted after the repair, since two copies of a row may differ only in how they
+    write a date. Nothing is written to the table.
     """
+    stored = cut_lineage(around(stored, spec, start, end))
     facts = Q.month_facts(stored, spec, start, end).first()
     calendar = [start + timedelta(days=i) for i in range((end - start).days + 1)]
     missing = [d for d in calendar if d not in set(facts["days"])]
