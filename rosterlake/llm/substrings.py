@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterlake.llm.collection import repeated_places
-from rosterlake.llm.common import small_batches, stored, with_row
+from rosterlake.llm.common import numbered, small_batches, stored
 
 LENGTH = 200
 SEED = 100
@@ -228,11 +228,10 @@ def _by_window(strings: DataFrame, length: int) -> DataFrame:
     return windows.join(again, "window", "left_semi").select("anchor", "string", "n", "first", F.lit(1).alias("many"))
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(rows with ``_row`` and ``text``, spans with ``_row``, ``start`` and ``end``): bytes covered by a repeated substring.
-    Spans may overlap. ``docs`` must be a table scan or staged."""
-    small_batches(docs.sparkSession, 200)
-    whole = with_row(docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")))
+def repeated_spans(whole: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
+    """Spans (``_row``, ``start``, ``end``) of the bytes covered by a repeated substring; they may overlap. ``whole`` are written
+    rows of ``_row`` and ``text``, which several jobs read."""
+    small_batches(whole.sparkSession, 200)
     places = occurrences(whole, length, seed)
     known = F.xxhash64("string", "n")
     anchors = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n"), F.min(known).alias("_lo"), F.max(known).alias("_hi"))
@@ -252,7 +251,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, text
     partly = places.filter("not _same").join(found, ["anchor", "string", "n"]).select(
         "_row", (F.col("start") + F.col("first")).alias("start"), F.col("many").alias("n"))
     windows = equal.unionByName(partly)
-    return whole, windows.select("_row", "start", (F.col("start") + F.col("n") + (length - 1)).alias("end"))
+    return windows.select("_row", "start", (F.col("start") + F.col("n") + (length - 1)).alias("end"))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -270,12 +269,14 @@ def without_repeated(docs: DataFrame, length: int = LENGTH, seed: int = SEED, do
     each maximal removed run) and ``kept_sha256`` over the bytes that stay.
 
     Texts are judged whole, as UTF-8 bytes, on the input; a match never crosses documents. Null counts as empty, and
-    texts under ``length`` bytes lose nothing. Repeated rows repeat one another and lose everything. Other columns are
-    not read. An empty table gives an empty result.
+    texts under ``length`` bytes lose nothing; very long ones are looked at in overlapping stretches of ``STRETCH`` bytes.
+    Repeated rows repeat one another and lose everything. Other columns are not read. An empty table gives an empty result.
+    Rows are numbered and written once, so that places and texts meet again whatever becomes of the cluster in between.
     """
-    whole, spans = repeated_spans(docs, length, seed, text)
+    held = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    ids = numbered(held)
+    spans = repeated_spans(ids.select("_row", "text"), length, seed)
     gone = spans.groupBy("_row").agg(F.collect_list(F.struct("start", "end")).alias("_gone"))
-    ids = with_row(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")))
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
