@@ -140,10 +140,11 @@ _register("c03", specs.RESERVATIONS_TYPED)
 _RT = specs.RESERVATIONS_TEXT
 
 
-@query("s16_observed_runs", ("reservations_report", "reservations_stored"), """
+@query("s16_observed_runs", ("reservations_report", "reservations_stored"), f"""
   SELECT 'first' AS run, 'reservations_text' AS job, 'completed' AS status, (SELECT count(*) FROM fresh) AS imported,
-    (SELECT count(*) FROM landed, hw WHERE d BETWEEN mark AND DATE '%s') - (SELECT count(*) FROM fresh) AS ignored
-  UNION ALL SELECT 'second', 'reservations_text', 'completed', 0, (SELECT count(*) FROM landed WHERE d = DATE '%s')""" % (syncs.YESTERDAY, syncs.YESTERDAY),
+    (SELECT count(*) FROM landed, hw WHERE d BETWEEN mark AND DATE '{syncs.YESTERDAY}') - (SELECT count(*) FROM fresh) AS ignored
+  UNION ALL SELECT 'second', 'reservations_text', 'completed', 0,
+    (SELECT count(*) FROM landed, hw WHERE d BETWEEN greatest(mark, (SELECT max(d) FROM landed WHERE d <= DATE '{syncs.YESTERDAY}')) AND DATE '{syncs.YESTERDAY}')""",
        syncs._ctes(_RT, *SOURCES[_RT]))
 def _recorded(t):
     """The records of two runs, counted while their rows were written. The second starts at the last stored day."""
