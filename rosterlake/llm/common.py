@@ -46,8 +46,10 @@ def free(df: DataFrame, name: str) -> str:
 
 
 def numbered(df: DataFrame, name: str = "_row") -> DataFrame:
-    """Number the rows and write them, so that every later job reads the same numbers, however the cluster has changed."""
-    return stored(df.withColumn(name, F.monotonically_increasing_id()))
+    """Number the rows and write them, so that every later job reads the same numbers, however the cluster has changed. Whole
+    texts are packed by a codec that works through streams: one that keeps a buffer outside the heap for each page it has met
+    takes an executor's memory until the heap is next swept."""
+    return stored(df.withColumn(name, F.monotonically_increasing_id()), "zstd")
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -55,12 +57,12 @@ def staged(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write as a table to the shared folder and go on from there. For steps with many rows: columns take a fraction of a
     checkpoint's space. The shuffles behind the table are let go, so that a long job holds those of one step at a time."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/step-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     return spark.read.parquet(path)

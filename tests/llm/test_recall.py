@@ -70,8 +70,8 @@ def test_results_do_not_depend_on_how_files_are_split(spark, tmp_path, monkeypat
     want = sorted(map(str, run().collect()))
     made = common.stored
 
-    def changes(df):
-        out = made(df)
+    def changes(df, *options):
+        out = made(df, *options)
         spark.conf.set("spark.sql.files.minPartitionNum", "12")
         return out
 

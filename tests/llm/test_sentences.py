@@ -101,8 +101,8 @@ def test_rows_keep_their_numbers_when_splits_change(spark, tmp_path, monkeypatch
     docs = spark.read.parquet(str(tmp_path / "d"))
     made = units.stored
 
-    def changes(df):
-        out = made(df)
+    def changes(df, *options):
+        out = made(df, *options)
         spark.conf.set("spark.sql.files.minPartitionNum", "12")
         return out
 
