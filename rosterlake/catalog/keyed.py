@@ -65,9 +65,9 @@ def _replace(t):
   SELECT reservation_id, class_session_id FROM bookings WHERE class_session_id IS NULL
     OR class_session_id NOT IN (SELECT session_id FROM sessions WHERE location_id IS NULL)""")
 def _delete(t):
-    # sessions are bounded by hours and rooms, so the list stays below the cap at any scale
+    # bookings of a session grow with the table, so what may go is a share of it
     doomed = t.sessions.where(F.col("location_id").isNull()).select(F.col("session_id").alias("class_session_id"))
-    return retention.purge(t.bookings, doomed, ["class_session_id"]).select("reservation_id", "class_session_id")
+    return retention.purge(t.bookings, doomed, ["class_session_id"], share=0.5).select("reservation_id", "class_session_id")
 
 
 MERGE_SQL = f"""

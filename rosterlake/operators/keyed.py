@@ -120,15 +120,19 @@ def changed_tiers(scores: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def guarded_delete(df: DataFrame, doomed: DataFrame, keys: Sequence[str], cap: int = DELETE_CAP) -> DataFrame:
-    """``df`` without the doomed keys; refuses when that would delete more than ``cap`` rows.
+def guarded_delete(df: DataFrame, doomed: DataFrame, keys: Sequence[str], cap: int = DELETE_CAP, share: float = 0.0) -> DataFrame:
+    """``df`` without the doomed keys; refuses when that would delete more than ``cap`` rows, or than ``share`` of all rows
+    where that is more.
 
-    The count looks at no more than ``cap + 1`` rows of ``df``. How the keys are joined is left to their size.
+    The first count looks at no more than ``cap + 1`` rows of ``df``; all are counted only where the share has to decide.
+    How the keys are joined is left to their size.
     """
     listed = doomed.select(*keys).distinct()
-    found = df.join(listed, list(keys), "left_semi").limit(cap + 1).count()
-    if found > cap:
-        raise TooManyRows(f"refusing to delete more than {cap} rows; check what selects them")
+    held = df.join(listed, list(keys), "left_semi")
+    if held.limit(cap + 1).count() > cap:
+        allowed = max(cap, int(share * df.count())) if share else cap
+        if allowed == cap or held.count() > allowed:
+            raise TooManyRows(f"refusing to delete more than {allowed} rows; check what selects them")
     return df.join(listed, list(keys), "left_anti")
 
 

@@ -11,9 +11,9 @@ from rosterlake.operators.keyed import DELETE_CAP, guarded_delete
 from rosterlake.sources.tables import MONTH, open_table, replace_table, rewrite_months
 
 
-def purge(df: DataFrame, doomed: DataFrame, keys: Sequence[str], cap: int = DELETE_CAP) -> DataFrame:
+def purge(df: DataFrame, doomed: DataFrame, keys: Sequence[str], cap: int = DELETE_CAP, share: float = 0.0) -> DataFrame:
     """Rows that stay."""
-    return guarded_delete(df, doomed, keys, cap)
+    return guarded_delete(df, doomed, keys, cap, share)
 
 
 def apply_purge(spark: SparkSession, path: str, doomed: DataFrame, keys: Sequence[str], cap: int = DELETE_CAP,
