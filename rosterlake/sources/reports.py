@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,8 +17,9 @@ REPORT_SCHEMA = T.StructType([
 ])
 
 
-#: Rows of one envelope: a page of the report.
+#: Rows of one envelope: a page of the report, and envelopes of one landed file.
 PAGE = 500
+FILE_PAGES = 400
 
 
 def read_report(spark: SparkSession, path: str | list[str], lines: bool = False) -> DataFrame:
@@ -25,19 +29,34 @@ def read_report(spark: SparkSession, path: str | list[str], lines: bool = False)
 
 
 def paged(df: DataFrame, entry: Column, page: int = PAGE, name: str = "rows") -> DataFrame:
-    """The entries of ``df`` as arrays of at most ``page``, in order. Rows are counted inside their partition, so that arrays grow
-    in number with the input and never in size."""
-    numbered = df.select(entry.alias("entry")).withColumn("_at", F.monotonically_increasing_id())
-    at, within = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    held = numbered.groupBy(at.alias("_part"), F.floor(within / page).alias("_page")).agg(F.array_sort(F.collect_list(F.struct("_at", "entry"))).alias("_held"))
-    return held.select(F.col("_held.entry").alias(name))
-
-
-def write_report(rows: DataFrame, headers: tuple[str, ...], path: str, page: int = PAGE) -> None:
-    """Land rows (one column, an array of cells) as a report: envelopes of at most ``page`` rows, one a line."""
+    """The entries of ``df`` as arrays of at most ``page``, in order. Each task cuts its own rows into pages as they come by, so
+    that nothing is shuffled for it and arrays grow in number with the input and never in size."""
+    entries = df.select(entry.alias("entry"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = None
+        for batch in batches:
+            held = batch.column(0) if left is None else pa.concat_arrays([left, batch.column(0)])
+            whole = len(held) // page * page
+            if whole:
+                yield pages(held.slice(0, whole))
+            left = held.slice(whole) if whole < len(held) else None
+        if left is not None:
+            yield pages(left)
+
+    def pages(held: pa.Array) -> pa.RecordBatch:
+        ends = [*range(0, len(held), page), len(held)]
+        return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), held)], [name])
+
+    return entries.mapInArrow(cut, T.StructType([T.StructField(name, T.ArrayType(entries.schema["entry"].dataType))]))
+
+
+def write_report(rows: DataFrame, headers: tuple[str, ...], path: str, page: int = PAGE, compression: str = "none") -> None:
+    """Land rows (one column, an array of cells) as a report: envelopes of at most ``page`` rows, one a line. A file takes
+    ``FILE_PAGES`` of them, since compressed files are read by one task each."""
     (cells,) = rows.columns
     out = paged(rows, F.col(cells), page).select(F.array(*[F.lit(h) for h in headers]).alias("headers"), "rows")
-    out.write.option("ignoreNullFields", False).json(path)
+    out.write.option("ignoreNullFields", False).option("maxRecordsPerFile", FILE_PAGES).option("compression", compression).json(path)
 
 
 def assert_headers(reports: DataFrame, spec: TableSpec) -> DataFrame:

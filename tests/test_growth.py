@@ -1,10 +1,21 @@
 """What may not grow faster than a table, on rows made here."""
 
+import contextlib
+import io
+
 import pytest
 from pyspark.sql import functions as F
 
+from rosterlake import specs
 from rosterlake.operators import keyed as K
-from rosterlake.sources import tables
+from rosterlake.sources import reports, tables
+
+
+def plan_of(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    return out.getvalue()
 
 
 def test_a_delete_may_take_its_share_of_a_large_table(spark):
@@ -14,3 +25,15 @@ def test_a_delete_may_take_its_share_of_a_large_table(spark):
     for cap, share in ((50, 0.2), (50, 0.0), (179, 0.0)):
         with pytest.raises(tables.TooManyRows):
             K.guarded_delete(df, doomed, ["k"], cap=cap, share=share)
+
+
+def test_pages_are_cut_without_a_shuffle(spark, tmp_path):
+    spec = specs.FIRST_TIMERS_TEXT
+    cells = [[str(i), None, "", *["x"] * (len(spec.headers) - 3)] for i in range(1234)]
+    rows = spark.createDataFrame([(c,) for c in cells], "row array<string>").coalesce(1)
+    pages = reports.paged(rows, F.col("row"), 100)
+    assert "Exchange" not in plan_of(pages)
+    held = [r["rows"] for r in pages.collect()]
+    assert [len(p) for p in held] == [100] * 12 + [34] and [r for p in held for r in p] == cells
+    reports.write_report(rows, spec.headers, str(tmp_path / "r"), page=100, compression="snappy")
+    assert reports.read_table_report(spark, str(tmp_path / "r"), spec, lines=True).count() == 1234
