@@ -37,6 +37,12 @@ def build_session(app: str = "rosterlake", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
+def settle(spark: SparkSession) -> None:
+    """The settings that results and running times depend on, for a session that somebody else has made."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
+        spark.conf.set(key, DEFAULTS[key])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names. Where none is set and driver and executors are one process, as in
     tests, a folder is made once for the session; on a cluster it must be set."""

@@ -6,8 +6,10 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from rosterlake import specs
 from rosterlake.operators import keyed as K
+from rosterlake.session import DEFAULTS
 from rosterlake.sources import reports, tables
 
 
@@ -37,3 +39,9 @@ def test_pages_are_cut_without_a_shuffle(spark, tmp_path):
     assert [len(p) for p in held] == [100] * 12 + [34] and [r for p in held for r in p] == cells
     reports.write_report(rows, spec.headers, str(tmp_path / "r"), page=100, compression="snappy")
     assert reports.read_table_report(spark, str(tmp_path / "r"), spec, lines=True).count() == 1234
+
+
+def test_a_query_settles_a_session_it_did_not_make(spark, monkeypatch):
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    entry.queries()["s03_map_sales_text"](spark, entry.SMOKE_DIR)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == DEFAULTS["spark.sql.codegen.hugeMethodLimit"]
