@@ -30,17 +30,25 @@ def repaired_month(stored: DataFrame, spec: TableSpec, start: date, end: date) -
     return Q.drop_exact_dups(Q.repair_formats(in_month(stored, spec, start, end), spec))
 
 
+def on_days(source: DataFrame, spec: TableSpec, days: list[date]) -> DataFrame:
+    """The source rows on some days of a month, staged, since a backfill looks at them more than once. The days are literals,
+    so only the months concerned are read."""
+    if not days:
+        return source.limit(0)
+    return cut_lineage(source.where(tables.month_bounds(source, days[0], days[-1]) & spec.day().isin(days)))
+
+
 def backfill(stored: DataFrame, source: DataFrame, spec: TableSpec, missing: list[date]) -> DataFrame:
-    """Source rows on the missing days whose key is not stored near them.
+    """Source rows on the missing days whose key is not stored near them."""
+    return fill(stored, on_days(source, spec, missing), spec, missing)
 
-    Stored keys are looked up from three days before the first to three days after the last missing day. The days
-    are literals, so both sides read only the months concerned.
-    """
+
+def fill(stored: DataFrame, wanted: DataFrame, spec: TableSpec, missing: list[date]) -> DataFrame:
+    """Rows of the missing days whose key is not stored near them: from three days before the first to three days after the
+    last missing day."""
     if not missing:
-        return source.limit(0)
-    first, last = missing[0], missing[-1]
-    wanted = source.where(tables.month_bounds(source, first, last) & spec.day().isin(missing))
-    held = drop_junk(in_month(stored, spec, *I.buffered(first, last, after=I.LATE_DAYS)), spec)
+        return wanted
+    held = drop_junk(in_month(stored, spec, *I.buffered(missing[0], missing[-1], after=I.LATE_DAYS)), spec)
     return I.append_rows(wanted, held, spec)
 
 
@@ -64,22 +72,22 @@ def audit_table(stored: DataFrame, source: DataFrame, spec: TableSpec, start: da
 
     The rows that matter, those of the month and of some days around it and those without a readable day, are read once and
     staged; everything else is taken from them. One pass brings the month's days and format counts to the driver (a single row).
-    With the missing days as literals, the backfill is skipped when there are none and reads only their months of the source
-    when there are some. Duplicates are counted after the repair, since two copies of a row may differ only in how they
-    write a date. Nothing is written to the table.
+    With the missing days as literals, the backfill is skipped when there are none, and their source rows are read once.
+    Duplicates are counted after the repair, since two copies of a row may differ only in how they write a date. Nothing is
+    written to the table.
     """
     stored = cut_lineage(around(stored, spec, start, end))
     facts = Q.month_facts(stored, spec, start, end).first()
     calendar = [start + timedelta(days=i) for i in range((end - start).days + 1)]
     missing = [d for d in calendar if d not in set(facts["days"])]
-    filled = backfill(stored, source, spec, missing)
+    wanted = on_days(source, spec, missing)
+    filled = fill(stored, wanted, spec, missing)
     fixed = Q.repair_formats(in_month(stored, spec, start, end), spec)
 
-    on_missing = source.where(tables.month_bounds(source, start, end) & spec.day().isin(missing or [start]))
     parts = [
         Q.duplicate_counts(fixed, list(spec.keys)),
         filled.agg(F.count(F.lit(1)).alias("backfilled_rows")),
-        on_missing.agg(F.count_distinct(spec.day()).alias("backfilled_days")),
+        wanted.agg(F.count_distinct(spec.day()).alias("backfilled_days")),
     ]
     rows = _as_metrics(parts)
     known = {"days_present": len(facts["days"]), "missing_days": len(missing), "unparseable": facts["unparseable"],

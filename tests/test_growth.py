@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from rosterlake import specs
 from rosterlake.operators import keyed as K
+from rosterlake.plans import audit
 from rosterlake.session import DEFAULTS
 from rosterlake.sources import reports, tables
 
@@ -45,3 +47,23 @@ def test_a_query_settles_a_session_it_did_not_make(spark, monkeypatch):
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
     entry.queries()["s03_map_sales_text"](spark, entry.SMOKE_DIR)
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == DEFAULTS["spark.sql.codegen.hugeMethodLimit"]
+
+
+def test_an_audit_reads_its_source_once(spark, tmp_path):
+    spec = specs.FIRST_TIMERS_TEXT
+
+    def row(key, day):
+        return ["Name", str(key), *["x"] * 3, day, *["x"] * (len(spec.names) - 6)]
+
+    rows = [row(i, f"06/{i:02d}/2026") for i in range(1, 31)]
+    schema = ", ".join(f"{n} string" for n in spec.names)
+    spark.createDataFrame([*rows, rows[4]], schema).write.parquet(str(tmp_path / "whole_source"))
+    source = spark.read.parquet(str(tmp_path / "whole_source"))
+    stored = spark.createDataFrame(rows[:4] + rows[6:], schema)
+    found = audit.audit_table(stored, source, spec, date(2026, 6, 1), date(2026, 6, 30))
+    assert "whole_source" not in plan_of(found.backfill) and "whole_source" not in plan_of(found.counters)
+    assert sorted(r[spec.keys[0]] for r in found.backfill.collect()) == ["5", "6"]
+    counted = found.counters.first()
+    assert (counted["missing_days"], counted["backfilled_days"], counted["backfilled_rows"]) == (2, 2, 2)
+    whole = audit.audit_table(source, source, spec, date(2026, 6, 1), date(2026, 6, 30))
+    assert whole.backfill.count() == 0 and whole.counters.first()["backfilled_days"] == 0
