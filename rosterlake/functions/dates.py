@@ -18,7 +18,8 @@ LOOSE_MDY = r"^\s*\d{1,2}/\s*\d{1,2}/\d{4}\s*$"
 MDY_MONTH = r"^\s*(\d{1,2})/"
 MDY_DAY = r"/\s*(\d{1,2})/"
 MDY_YEAR = r"/(\d{4})\s*$"
-MDY_PARTS = r"(?s)^\s*(\d{1,2})(?=/).*?/\s*(\d{1,2})/(?:.*/)?(\d{4})\s*$"
+MDY_PARTS = r"(?s)^=\s*(\d{1,2})(?=/).*?/\s*(\d{1,2})/(?:.*/)?(\d{4})\s*$"
+ISO_DAY = r"^\d{4}-\d{2}-\d{2}\z"
 ISO_PREFIX = r"^\d{4}-\d{2}-\d{2}"
 ZONE_OFFSETS = {"UTC": "+00:00", "GMT": "+00:00", "EST": "-05:00", "EDT": "-04:00"}
 FRENCH_MONTHS = (
@@ -55,7 +56,7 @@ def to_time12h(c: Column) -> Column:
 
 def date_only(c: Column) -> Column:
     """The day in the first ten characters of an ISO text."""
-    return F.try_to_date(F.substring(c.cast("string"), 1, 10), "yyyy-MM-dd")
+    return iso_day(F.substring(c.cast("string"), 1, 10))
 
 
 def long_date(c: Column, lang: str = "en") -> Column:
@@ -101,15 +102,20 @@ def normalize_any(c: Column) -> Column:
 def tolerant_date(c: Column) -> Column:
     """The day behind any of the US variants; null for text that is not a date.
 
-    The text is looked at once: values of the right shape get a mark that the date pattern asks for, and whatever
-    comes without it cannot be read.
+    The text is looked at once: it gets a mark that no day has, values of the right shape lose it on the way to an ISO
+    text, and whatever keeps it cannot be read. A cast reads days without a date pattern, which throws for each failure.
     """
-    return F.try_to_date(F.regexp_replace(c, MDY_PARTS, "mdy $1/$2/$3"), "'mdy 'M/d/yyyy")
+    return F.regexp_replace(F.concat(F.lit("="), c), MDY_PARTS, "$3-$1-$2").try_cast("date")
+
+
+def iso_day(c: Column) -> Column:
+    """The day of a text ``YYYY-MM-DD``, null for every other shape. A cast alone would take more of them."""
+    return F.when(c.rlike(ISO_DAY), c.try_cast("date"))
 
 
 def tolerant_date_any(c: Column) -> Column:
-    """US variants first, then ISO."""
-    return F.coalesce(tolerant_date(c), F.try_to_date(c, "yyyy-MM-dd"))
+    """US variants first, then ISO, where a sign may stand before the year."""
+    return F.coalesce(tolerant_date(c), iso_day(c), F.when(c.rlike("^[-+]"), F.try_to_date(c, "yyyy-MM-dd")))
 
 
 def repaired_text(c: Column) -> Column:

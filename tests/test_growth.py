@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from rosterlake import specs
+from rosterlake.functions import dates as D
 from rosterlake.operators import keyed as K
 from rosterlake.plans import audit
 from rosterlake.session import DEFAULTS
@@ -67,3 +68,15 @@ def test_an_audit_reads_its_source_once(spark, tmp_path):
     assert (counted["missing_days"], counted["backfilled_days"], counted["backfilled_rows"]) == (2, 2, 2)
     whole = audit.audit_table(source, source, spec, date(2026, 6, 1), date(2026, 6, 30))
     assert whole.backfill.count() == 0 and whole.counters.first()["backfilled_days"] == 0
+
+
+def test_days_are_read_without_a_date_pattern(spark):
+    texts = ["1/ 2/2024", "02/30/2024", "=1/2/2024", "2024-01-02", "2024-01-2 ", "2024-01-02T10:00:00Z", "+12024-01-02", "n/a", None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(texts)], "i int, v string").repartition(1)
+    readers = {"us": D.tolerant_date, "any": D.tolerant_date_any, "iso": D.date_only}
+    assert not any("gettimestamp" in plan_of(df.select(readers[n](F.col("v")))) for n in ("us", "iso"))
+    held = df.select("i", *[f(F.col("v")).cast("string").alias(n) for n, f in readers.items()]).orderBy("i").collect()
+    day = "2024-01-02"
+    assert [r["us"] for r in held] == [day, *[None] * 8]
+    assert [r["any"] for r in held] == [day, None, None, day, None, None, "+12024-01-02", None, None]
+    assert [r["iso"] for r in held] == [*[None] * 3, day, None, day, *[None] * 3]
