@@ -64,19 +64,23 @@ def _listing(spark: SparkSession, path: str) -> dict[str, str]:
 
 
 def _counted(rows: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
-    """Facts of each month in ``rows``, and its keys with the number of different rows that have them."""
-    keys = [f"_key{i}" for i in range(len(spec.keys))]
+    """Facts of each month in ``rows``, and its keys with the number of different rows that have them. Rows are shuffled as
+    digests, and so are keys that hold the day: no two months share one, so nobody asks for them."""
+    meet = spec.date_column not in spec.keys
+    keys = [f"_key{i}" for i in range(len(spec.keys))] if meet else ["_key"]
+    parts = [F.col(f"`{k}`") for k in spec.keys]
+    held = [p.alias(n) for p, n in zip(parts, keys)] if meet else [F.unhex(F.md5(F.to_json(F.struct(*parts)))).alias("_key")]
     data = [c for c in rows.columns if c != MONTH]
 
     def flag(condition: Column) -> Column:
         return F.coalesce(condition, F.lit(False)).cast("int")
 
     marked = rows.select(
-        MONTH, *[F.col(f"`{k}`").alias(n) for k, n in zip(spec.keys, keys)], X.row_digest(rows.select(*[f"`{c}`" for c in data])).alias("row_id"),
+        MONTH, *held, F.unhex(X.row_digest(rows.select(*[f"`{c}`" for c in data]))).alias("row_id"),
         flag(Q.is_bad_format(spec) & spec.day().isNotNull()).alias("bad"), flag(Q.is_repairable(spec) & spec.day().isNotNull()).alias("repair"),
         flag(spec.keep() & Q.is_unparseable(spec)).alias("lost"))
     each = marked.groupBy(MONTH, *keys, "row_id", "bad", "repair", "lost").agg(F.count(F.lit(1)).alias("copies"))
-    mixed = F.pmod(F.pmod(F.xxhash64("row_id"), F.lit(_MODULUS)).cast("decimal(19,0)") * F.col("copies").cast("decimal(18,0)"), F.lit(_MODULUS)).cast("decimal(20,0)")
+    mixed = F.pmod(F.pmod(F.xxhash64(F.lower(F.hex("row_id"))), F.lit(_MODULUS)).cast("decimal(19,0)") * F.col("copies").cast("decimal(18,0)"), F.lit(_MODULUS)).cast("decimal(20,0)")
     per_key = each.groupBy(MONTH, *keys).agg(
         F.sum("copies").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"), *[F.sum(F.col(c) * F.col("copies")).alias(c) for c in ("bad", "repair", "lost")],
         F.sum(mixed).alias("mixed"))

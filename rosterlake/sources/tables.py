@@ -40,9 +40,9 @@ def month_bounds(df: DataFrame, start: date, end: date) -> Column:
 
 def write_table(df: DataFrame, path: str, spec: TableSpec, mode: str = "errorifexists") -> None:
     """Write a table partitioned by month. Rows are dealt out by month first, and a large month to several tasks, so that
-    an append writes a few files for each month and not one for each month and task."""
+    an append writes a few files for each month and not one for each month and task. Files are packed with zstd."""
     df = df if MONTH in df.columns else with_month(df, spec)
-    df.hint("rebalance", MONTH).write.mode(mode).partitionBy(MONTH).parquet(path)
+    df.hint("rebalance", MONTH).write.mode(mode).option("compression", "zstd").partitionBy(MONTH).parquet(path)
 
 
 def append(df: DataFrame, path: str, spec: TableSpec | None = None) -> None:

@@ -13,7 +13,7 @@ from rosterlake.functions import dates as D
 from rosterlake.operators import keyed as K
 from rosterlake.plans import audit
 from rosterlake.session import DEFAULTS
-from rosterlake.sources import reports, tables
+from rosterlake.sources import facts, reports, tables
 
 
 def plan_of(df):
@@ -80,3 +80,16 @@ def test_days_are_read_without_a_date_pattern(spark):
     assert [r["us"] for r in held] == [day, *[None] * 8]
     assert [r["any"] for r in held] == [day, None, None, day, None, None, "+12024-01-02", None, None]
     assert [r["iso"] for r in held] == [*[None] * 3, day, None, day, *[None] * 3]
+
+
+def test_facts_shuffle_digests_of_keys_that_hold_the_day(spark, tmp_path):
+    spec, path = specs.SALES_TEXT, str(tmp_path / "sales")
+    plain = dict.fromkeys(spec.names, "x") | {"transaction_date": "06/01/2026", "order_date_utc": "06/01/2026"}
+    changes = [{}, {}, {"line_total": "9"}, {"variant_id": ""}, {"variant_id": None}, {"transaction_date": "6/2/2026"}, {"transaction_date": "n/a"}]
+    rows = spark.createDataFrame([tuple((plain | c)[n] for n in spec.names) for c in changes], ", ".join(f"{n} string" for n in spec.names))
+    tables.write_table(rows, path, spec)
+    assert all(".zstd." in f.name for f in (tmp_path / "sales").rglob("part-*.parquet"))
+    plan = plan_of(facts._counted(spark.read.parquet(path), spec)[0])
+    assert "_key#" in plan and "_key0" not in plan
+    found = facts.refresh(spark, path, spec).months.select("audit_month", "total_rows", "distinct_rows", "key_collisions", "repairable", "unparseable")
+    assert sorted(tuple(r) for r in found.collect()) == [("2026-06", 6, 5, 1, 1, 0), ("none", 1, 1, 0, 0, 1)]
