@@ -16,6 +16,8 @@ import numpy as np
 START = 0xFF
 #: Common prefixes are counted up to here.
 LONGEST = 255
+#: Added to parents by first symbol (the first entry: none), so that all places of a collection ascend and are searched at once.
+_FIRST = np.arange(-1, 256, dtype=np.int64) << 32
 
 
 class Collection:
@@ -26,7 +28,7 @@ class Collection:
     costs more than filling them.
     """
 
-    KINDS = (np.uint8, np.uint8, np.int64)
+    KINDS = (np.uint8, np.uint8, np.int32)
 
     def __init__(self, strings: list[bytes], folder: str):
         self.lengths = np.array([len(s) for s in strings], np.int64)
@@ -38,8 +40,10 @@ class Collection:
         self.begins = np.full(257, len(strings), np.int64)  # of the suffixes with each first symbol
         size = int(self.lengths.sum()) + len(strings)
         self.was, self.now = ([np.empty(size, k) for k in self.KINDS] for _ in range(2))
-        self.old, self.moved, self.steps = np.empty(size, bool), np.empty(size, np.int64), np.arange(size)
-        self._write(self.columns[0], np.zeros(len(strings), np.uint8), np.zeros(len(strings), np.int64))
+        if size > np.iinfo(np.int32).max:
+            raise ValueError("places are counted in 32 bits; build fewer strings at once")
+        self.old, self.moved, self.steps = np.empty(size, bool), np.empty(size, np.int32), np.arange(size, dtype=np.int32)
+        self._write(self.columns[0], np.zeros(len(strings), np.uint8), np.zeros(len(strings), np.int32))
 
     def _write(self, *arrays: np.ndarray) -> None:
         self.count = len(arrays[0])
@@ -73,17 +77,14 @@ class Collection:
 
         # what stands before and after among suffixes with the same first symbol, by parent; -1 and the end: nothing
         end = self.count
-        before, last, after = np.empty(n, np.int64), np.full(n, -1), np.full(n, end)
-        edges = np.flatnonzero(np.diff(symbols, prepend=-1, append=-1))
-        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            from_, to = self.begins[symbols[lo] : symbols[lo] + 2]
-            block = parents[from_:to]
-            near = np.searchsorted(block, mine[lo:hi])
-            before[lo:hi] = from_ + near
-            has = near > 0
-            last[lo:hi][has] = block[near[has] - 1]
-            has = near < len(block)
-            after[lo:hi][has] = block[near[has]]
+        held = np.repeat(_FIRST, np.diff(self.begins, prepend=0))
+        held += parents
+        before = np.searchsorted(held, _FIRST[symbols + 1] + mine)
+        last, after = np.full(n, -1), np.full(n, end)
+        has = before > self.begins[symbols]
+        last[has] = parents[before[has] - 1]
+        has = before < self.begins[symbols + 1]
+        after[has] = parents[before[has]]
         same = symbols[1:] == symbols[:-1]
         last[1:][same] = np.maximum(last[1:], mine[:-1])[same]
         closed = np.zeros(n, bool)  # the next suffix is new as well, and looks back by itself

@@ -28,7 +28,7 @@ SEED = 100
 #: Bytes of a text looked at in one go; longer texts are cut with an overlap of one window.
 STRETCH = 1 << 20
 #: Bytes of strings that one construction takes; one anchor's strings stay together.
-BLOCK = 128 << 10
+BLOCK = 512 << 10
 #: Distinct strings of one anchor above which its windows are compared by digest in Spark instead.
 CROWDED = 4_096
 _BASE = 0x9E3779B97F4A7C15 | 1
