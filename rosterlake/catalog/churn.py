@@ -38,6 +38,10 @@ def purchases(t: Tables):
     return A.all_purchases(A.legacy_purchases(t.legacy_sales, t.legacy_customers), A.new_purchases(t.recent_sales))
 
 
+def profile(t: Tables):
+    return A.purchase_profile(A.either_purchases(A.legacy_purchases(t.legacy_sales, t.legacy_customers), A.new_purchases(t.recent_sales, dated=False)))
+
+
 def visits(t: Tables):
     return A.all_visits(t.legacy_reservations, typed_reservations(t))
 
@@ -168,7 +172,7 @@ _P = {n: CTES[n] for n in ("e1", "e2", "purchases", "latest_purchase", "latest_m
     cast(c.d AS varchar) AS last_credit_purchase_date, m.email IS NOT NULL AS ever_member
   FROM latest_purchase AS p LEFT JOIN latest_membership AS m USING (email) LEFT JOIN latest_credit AS c USING (email)""", _P)
 def _a08(t):
-    p = A.purchase_profile(purchases(t))
+    p = profile(t)
     return p.select("email", F.col("latest.d").alias("last_purchase"), "latest.category", "latest.pack_size", "latest.rev",
                     "latest.first_name", "latest.booking_customer_id", F.col("plan.d").alias("plan_date"), "plan.plan_days",
                     "plan.weekly_rate", "last_credit_purchase_date", "ever_member")
@@ -178,7 +182,7 @@ def _a08(t):
   SELECT email, category, cast(last_membership AS varchar) AS plan_date, cast(last_credit AS varchar) AS last_credit FROM calc""",
        upto("calc"))
 def _f20(t):
-    h, p = A.visit_history(visits(t)).select("email"), A.purchase_profile(purchases(t))
+    h, p = A.visit_history(visits(t)).select("email"), profile(t)
     joined = h.join(p, "email", "left")
     return joined.select("email", A.active_category(F.col("plan.d"), F.col("plan.plan_days"),
                                                     F.col("last_credit_purchase_date"), SALES_DAY).alias("category"),
@@ -207,7 +211,7 @@ def _p11(t):
     ON a.email = c.email AND a.d BETWEEN c.last_purchase_date AND {AS_OF} GROUP BY c.email""", upto("candidates"))
 def _j07(t):
     history = A.visit_history(visits(t))
-    population = S.candidates(history, A.purchase_profile(purchases(t)), SALES_DAY)
+    population = S.candidates(history, profile(t), SALES_DAY)
     return A.visits_since(population, history, SALES_DAY)
 
 

@@ -36,12 +36,12 @@ def legacy_purchases(sales: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def new_purchases(sales: DataFrame) -> DataFrame:
-    """Membership and credit lines of the text sales table."""
+def new_purchases(sales: DataFrame, dated: bool = True) -> DataFrame:
+    """Membership and credit lines of the text sales table. Without ``dated`` lines whose day cannot be read stay in, so that
+    texts are read once, where the day is used, and not for a filter as well."""
     kept = sales.where(F.col("product_type").isin(*M.PRODUCT_CATEGORY))
-    return with_email(kept, "customer_email").withColumn("d", D.tolerant_date(F.col("transaction_date"))).where(
-        F.col("d").isNotNull()
-    ).select(
+    bought = with_email(kept, "customer_email").withColumn("d", D.tolerant_date(F.col("transaction_date")))
+    return (bought.where(F.col("d").isNotNull()) if dated else bought).select(
         "email", "d", F.coalesce(X.to_float(F.col("line_total")), F.lit(0.0)).alias("rev"),
         M.product_category(F.col("product_type")).alias("category"),
         F.coalesce(F.col("line_quantity").try_cast("bigint"), F.lit(1)).alias("pack_size"),
@@ -50,11 +50,15 @@ def new_purchases(sales: DataFrame) -> DataFrame:
     )
 
 
+def either_purchases(legacy: DataFrame, new: DataFrame) -> DataFrame:
+    """Both systems as one table."""
+    return legacy.select(*PURCHASE_COLUMNS).unionByName(new.select(*PURCHASE_COLUMNS))
+
+
 def all_purchases(legacy: DataFrame, new: DataFrame) -> DataFrame:
     """Both systems as one table, with plan length and weekly rate for memberships."""
-    both = legacy.select(*PURCHASE_COLUMNS).unionByName(new.select(*PURCHASE_COLUMNS))
     member = F.col("category") == "membership"
-    return both.withColumns({
+    return either_purchases(legacy, new).withColumns({
         "plan_days": F.when(member, M.plan_days(F.col("item_text"))),
         "weekly_rate": F.when(member, M.weekly_rate(F.col("item_text"))),
     })
@@ -124,25 +128,32 @@ def visits_since(population: DataFrame, history: DataFrame, as_of: date) -> Data
     )
 
 
-def latest_order() -> Column:
-    """Which of several purchases of one day is the latest: by revenue, text, pack size, then the other fields."""
-    return F.struct("d", "rev", "item_text", "pack_size", "first_name", "last_name", "booking_customer_id")
+#: Which of several purchases of one day is the latest: by revenue, text, pack size, then the other fields.
+LATEST_ORDER = ("d", "rev", "item_text", "pack_size", "first_name", "last_name", "booking_customer_id", "category")
+PLAN_COLUMNS = {"plan_days": M.plan_days, "weekly_rate": M.weekly_rate}
 
 
 def purchase_profile(purchases: DataFrame) -> DataFrame:
-    """One row per person: latest purchase, latest membership, last credit day, ever a member.
+    """One row per person: latest purchase, latest membership, last credit day, ever a member. Purchases without a day do
+    not count.
 
-    All four come from one aggregation with partial results in the map tasks: one shuffle instead of four.
+    All four come from one aggregation with partial results in the map tasks: one shuffle instead of four. Where purchases
+    do not say how long a plan runs and what it promises, that is read from the text of the one membership that is kept.
     """
-    member = F.col("category") == "membership"
-    latest = F.struct("d", "category", "pack_size", "rev", "first_name", "last_name", "booking_customer_id")
-    plan = F.struct("d", "plan_days", "weekly_rate")
-    return purchases.groupBy("email").agg(
-        F.max_by(latest, latest_order()).alias("latest"),
-        F.max_by(F.when(member, plan), F.when(member, latest_order())).alias("plan"),
+    told = [c for c in PLAN_COLUMNS if c in purchases.columns]
+    kept, member = F.struct(*LATEST_ORDER, *told), F.col("category") == "membership"
+    dated = F.col("d").isNotNull()
+    found = purchases.groupBy("email").agg(
+        F.max(F.when(dated, kept)).alias("_latest"),
+        F.max(F.when(dated & member, kept)).alias("_plan"),
         F.max(F.when(F.col("category") == "credit", F.col("d"))).alias("last_credit_purchase_date"),
-        F.coalesce(F.bool_or(member), F.lit(False)).alias("ever_member"),
-    )
+    ).where(F.col("_latest").isNotNull())
+    latest = ("d", "category", "pack_size", "rev", "first_name", "last_name", "booking_customer_id")
+    plan = [(F.col(f"_plan.{c}") if c in told else read(F.col("_plan.item_text"))).alias(c) for c, read in PLAN_COLUMNS.items()]
+    return found.select(
+        "email", F.struct(*[F.col(f"_latest.{c}").alias(c) for c in latest]).alias("latest"),
+        F.when(F.col("_plan").isNotNull(), F.struct(F.col("_plan.d").alias("d"), *plan)).alias("plan"),
+        "last_credit_purchase_date", F.col("_plan").isNotNull().alias("ever_member"))
 
 
 def downgrade_flag(people: DataFrame, purchases: DataFrame) -> DataFrame:

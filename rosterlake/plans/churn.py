@@ -28,7 +28,7 @@ class ChurnTables:
 
 def people(t: ChurnTables, as_of: date) -> DataFrame:
     """Every reachable person with category, gap, visit days and last purchase: two aggregations and one join."""
-    purchases = A.all_purchases(A.legacy_purchases(t.legacy_sales, t.legacy_customers), A.new_purchases(t.sales))
+    purchases = A.either_purchases(A.legacy_purchases(t.legacy_sales, t.legacy_customers), A.new_purchases(t.sales, dated=False))
     visits = A.all_visits(t.legacy_reservations, t.reservations)
     return S.candidates(A.visit_history(visits), A.purchase_profile(purchases), as_of)
 
