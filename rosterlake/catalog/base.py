@@ -30,6 +30,15 @@ class Tables:
         return surrogates.view(self.spark, self.folder, name)
 
 
+class DealtTables(Tables):
+    """Views whose rows go to a stored table: dealt out by month while they are narrow."""
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in surrogates.ROWS_OF:
+            raise AttributeError(name)
+        return surrogates.dealt_view(self.spark, self.folder, name)
+
+
 @dataclass(frozen=True)
 class Query:
     run: Callable[[Tables], DataFrame]

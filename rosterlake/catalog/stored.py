@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rosterlake import specs
 from rosterlake.catalog import audits, syncs
-from rosterlake.catalog.base import SALES_DAY, Tables, d_any, d_iso_like, d_loose, query
+from rosterlake.catalog.base import SALES_DAY, DealtTables, Tables, d_any, d_iso_like, d_loose, query
 from rosterlake.catalog.keyed import _BATCH, _UPSERT, MERGE_SQL, _booked_people, batch
 from rosterlake.catalog.landed import _home, landed_report
 from rosterlake.catalog.ratings import _IMPORT
@@ -122,7 +122,8 @@ def _synced(t: Tables, spec: specs.TableSpec):
     """Land the report, store what was there before, run the sync twice, the second time in vain; read the table."""
     home = _home(t)
     report = landed_report(t, spec, home).where(spec.day() >= F.date_sub(F.lit(syncs.CUT), 3))
-    tables.write_table(syncs.stored(t, spec).select(*spec.names), f"{home}/table", spec)
+    old = syncs.stored(DealtTables(t.spark, t.folder), spec)
+    tables.write_table(old.select(*[f"`{c}`" for c in spec.names]), f"{home}/table", spec, dealt=True)
     records = [sync.sync_table(report, f"{home}/table", spec, syncs.AS_OF, spec.name) for _ in range(2)]
     return tables.open_table(t.spark, f"{home}/table"), records
 
@@ -161,9 +162,10 @@ def _recorded(t):
 })
 def _marks(t):
     """Marks of stored tables from their newest month; rows without a day lie in a month of their own."""
-    home, out = _home(t), []
-    for spec, rows in ((specs.SALES_TEXT, t.sales_stored), (_RT, t.reservations_stored)):
-        tables.write_table(rows.where((spec.day() <= F.lit(syncs.CUT)) | spec.day().isNull()).select(*spec.names), f"{home}/{spec.name}", spec)
+    home, out, dealt = _home(t), [], DealtTables(t.spark, t.folder)
+    for spec, rows in ((specs.SALES_TEXT, dealt.sales_stored), (_RT, dealt.reservations_stored)):
+        kept = rows.where((spec.day() <= F.lit(syncs.CUT)) | spec.day().isNull())
+        tables.write_table(kept.select(*spec.names), f"{home}/{spec.name}", spec, dealt=True)
         out.append((spec.name, str(sync.stored_mark(t.spark, f"{home}/{spec.name}", spec, syncs.AS_OF))))
     return t.spark.createDataFrame(out, "table_name string, mark string")
 
@@ -229,9 +231,9 @@ def _table_facts(t):
   UNION ALL SELECT 'reservations_typed', count(*) FROM reservations_report UNION ALL SELECT 'scores', count(*) FROM scores""")
 def _loaded(t):
     """Written tables, loaded by name under their declared columns."""
-    home, out = _home(t), None
+    home, out, dealt = _home(t), None, DealtTables(t.spark, t.folder)
     for spec in (specs.SALES_TYPED, specs.FIRST_TIMERS_TEXT, specs.RESERVATIONS_TYPED):
-        tables.write_table(mapped_columns(t, spec).select(*[f"`{c}`" for c in spec.names]), f"{home}/{spec.name}", spec)
+        tables.write_table(mapped_columns(dealt, spec).select(*[f"`{c}`" for c in spec.names]), f"{home}/{spec.name}", spec, dealt=True)
     t.scores.select(*specs.SCORE_SCHEMA.names).write.parquet(f"{home}/scores")
     for name in ("sales_typed", "first_timers_text", "reservations_typed", "scores"):
         counted = tables.load(t.spark, home, name, specs.STORED[name]).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")

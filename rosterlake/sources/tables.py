@@ -16,6 +16,8 @@ from rosterlake.specs import TableSpec
 MONTH = "audit_month"
 #: Partition of rows whose audit day cannot be read.
 NO_MONTH = "none"
+#: Months that a task writes side by side; Spark sorts the rest of its rows by month if there are more.
+OPEN_FILES = 16
 
 
 class TooManyRows(RuntimeError):
@@ -38,11 +40,28 @@ def month_bounds(df: DataFrame, start: date, end: date) -> Column:
     return F.col(MONTH).between(start.strftime("%Y-%m"), end.strftime("%Y-%m"))
 
 
-def write_table(df: DataFrame, path: str, spec: TableSpec, mode: str = "errorifexists") -> None:
+def deal(rows: DataFrame, day: Column) -> DataFrame:
+    """Rows dealt out by the month of a day, a large month to several tasks. For rows that are narrow yet and are widened on
+    their way to ``write_table``: what is shuffled is then a fraction of the table."""
+    return rows.withColumn("_dealt", month_of(day)).hint("rebalance", "_dealt").drop("_dealt")
+
+
+def write_table(df: DataFrame, path: str, spec: TableSpec, mode: str = "errorifexists", dealt: bool = False) -> None:
     """Write a table partitioned by month. Rows are dealt out by month first, and a large month to several tasks, so that
-    an append writes a few files for each month and not one for each month and task. Files are packed with zstd."""
+    an append writes a few files for each month and not one for each month and task. Files are packed with zstd.
+
+    ``dealt`` rows went through ``deal`` when they were narrow and are not shuffled again; a task then holds a few months (rows
+    without a day lie in any) and writes up to ``OPEN_FILES`` of them side by side, so that wide rows are not sorted either.
+    """
     df = df if MONTH in df.columns else with_month(df, spec)
-    df.hint("rebalance", MONTH).write.mode(mode).option("compression", "zstd").partitionBy(MONTH).parquet(path)
+    conf, key = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(key)
+    if dealt:
+        conf.set(key, str(OPEN_FILES))
+    try:
+        (df if dealt else df.hint("rebalance", MONTH)).write.mode(mode).option("compression", "zstd").partitionBy(MONTH).parquet(path)
+    finally:
+        conf.set(key, before)
 
 
 def append(df: DataFrame, path: str, spec: TableSpec | None = None) -> None:

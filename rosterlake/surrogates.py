@@ -12,7 +12,9 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rosterlake.sources.tables import deal
 from rosterlake.specs import RESERVATIONS_TEXT, SALES_TEXT
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -654,8 +656,25 @@ def base_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: The rows that business rows are made of one by one, as the views spell them, and the day that tells their month.
+LINES, ORDERS = "{lineitem} JOIN {orders} ON l_orderkey = o_orderkey", "{orders}"
+ROWS_OF = {"sales_report": (LINES, "l_shipdate"), "sales_stored": (LINES, "l_shipdate"), "first_timers_report": (ORDERS, "o_orderdate"),
+           "reservations_report": (ORDERS, "o_orderdate"), "reservations_stored": (ORDERS, "o_orderdate")}
+
+
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A view as a DataFrame. Only the columns and rows a query asks for are derived: it is one lazy plan."""
     text = f"{with_clause((name,), SparkText())} SELECT * FROM {name}"
     used = {t: base_table(spark, folder, t) for t in BASE_TABLES if "{" + t + "}" in text}
     return spark.sql(text, **used)
+
+
+def dealt_view(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The same view, its rows dealt out by month before their cells are built."""
+    rows, day = ROWS_OF[name]
+    text = f"{with_clause((name,), SparkText())} SELECT * FROM {name}"
+    if text.count(rows) != 1:
+        raise ValueError(f"{name} is not made of the rows it is said to be")
+    used = {t: base_table(spark, folder, t) for t in BASE_TABLES if "{" + t + "}" in rows}
+    narrow = spark.sql(f"SELECT * FROM {rows}", **used)
+    return spark.sql(text.replace(rows, "{narrow}"), narrow=deal(narrow, F.col(day).cast("date")))
