@@ -18,6 +18,8 @@ MONTH = "audit_month"
 NO_MONTH = "none"
 #: Months that a task writes side by side; Spark sorts the rest of its rows by month if there are more.
 OPEN_FILES = 16
+#: How dealt rows are written: narrow rows of a task (a quarter of Spark's own size, since they are widened afterwards), and files.
+DEALT = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16MB", "spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)}
 
 
 class TooManyRows(RuntimeError):
@@ -54,14 +56,15 @@ def write_table(df: DataFrame, path: str, spec: TableSpec, mode: str = "errorife
     without a day lie in any) and writes up to ``OPEN_FILES`` of them side by side, so that wide rows are not sorted either.
     """
     df = df if MONTH in df.columns else with_month(df, spec)
-    conf, key = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
-    before = conf.get(key)
-    if dealt:
-        conf.set(key, str(OPEN_FILES))
+    conf = df.sparkSession.conf
+    before = {key: conf.get(key) for key in DEALT} if dealt else {}
+    for key in before:
+        conf.set(key, DEALT[key])
     try:
         (df if dealt else df.hint("rebalance", MONTH)).write.mode(mode).option("compression", "zstd").partitionBy(MONTH).parquet(path)
     finally:
-        conf.set(key, before)
+        for key, value in before.items():
+            conf.set(key, value)
 
 
 def append(df: DataFrame, path: str, spec: TableSpec | None = None) -> None:

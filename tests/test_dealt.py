@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from rosterlake import specs, surrogates
 from rosterlake.sources import tables
 
-KEY = "spark.sql.maxConcurrentOutputFileWriters"
-
 
 def made(spark, folder):
     """Orders and lines with null and repeated keys and days."""
@@ -41,9 +39,9 @@ def test_dealt_rows_are_written_whole_beyond_the_months_held_open(spark, tmp_pat
     days = [f"{m:02d}/05/{y}" for y in (2024, 2025) for m in range(1, 13)] + ["n/a", None]
     rows = spark.createDataFrame([tuple(d if n == spec.date_column else str(i) for n in spec.names) for i, d in enumerate(days * 3)],
                                  ", ".join(f"{n} string" for n in spec.names)).coalesce(1)
-    before = spark.conf.get(KEY)
+    before = {key: spark.conf.get(key) for key in tables.DEALT}
     tables.write_table(rows, str(tmp_path / "t"), spec, dealt=True)
-    assert spark.conf.get(KEY) == before and 24 > tables.OPEN_FILES
+    assert {key: spark.conf.get(key) for key in tables.DEALT} == before and 24 > tables.OPEN_FILES
     back = spark.read.parquet(str(tmp_path / "t"))
     assert sorted(map(str, back.select(*spec.names).collect())) == sorted(map(str, rows.collect()))
     assert {r["audit_month"]: r["count"] for r in back.groupBy("audit_month").count().collect()} == {
