@@ -199,13 +199,16 @@ _BOOKED_FACTS = {"stored": f"SELECT *, {audits.BOOKED_DAY} AS d FROM reservation
 _SHOWN = "total_rows, distinct_rows, duplicate_rows, key_collisions, bad_format, repairable, unparseable"
 
 
-def _grown(t: Tables, spec: specs.TableSpec, rows):
-    """A table that is counted, grows by the days it lacked, and is counted again; only the months that grew are read."""
-    path = f"{_home(t)}/table"
+def _grown(t: Tables, spec: specs.TableSpec, view: str):
+    """A table that is counted, grows by the days it lacked, and is counted again; only the months that grew are read. Its rows
+    are derived once: what comes later is written in the same pass, beside the table."""
+    home, rows = f"{_home(t)}/rows", getattr(DealtTables(t.spark, t.folder), view)
     lacking = F.coalesce(F.dayofmonth(spec.day()).isin(*audits.LOST_DAYS) & (F.month(spec.day()) == 3), F.lit(False))
-    tables.write_table(rows.where(~lacking).select(*spec.names), path, spec)
+    arrived = F.when(lacking, "later").otherwise("first").alias("arrived")
+    tables.write_table(rows.select(*spec.names, arrived), home, spec, dealt=True, apart="arrived")
+    path, later = f"{home}/arrived=first", t.spark.read.parquet(home).where("arrived = 'later'").select(*spec.names)
     facts.refresh(t.spark, path, spec)
-    tables.append(rows.where(lacking).select(*spec.names), path, spec)
+    tables.append(later, path, spec)
     found = facts.refresh(t.spark, path, spec)
     if not all(m.endswith("-03") for m in found.recounted):
         raise AssertionError(f"months that did not change were read: {found.recounted}")
@@ -214,7 +217,7 @@ def _grown(t: Tables, spec: specs.TableSpec, rows):
 
 @query("a04_a05_a11_a12_month_facts", audits.SV, f"SELECT audit_month, {_SHOWN} FROM per_month", _SALES_FACTS)
 def _facts(t):
-    return _grown(t, audits.SALES, t.sales_dups).months.withColumn("duplicate_rows", F.col("total_rows") - F.col("distinct_rows")).select(
+    return _grown(t, audits.SALES, "sales_dups").months.withColumn("duplicate_rows", F.col("total_rows") - F.col("distinct_rows")).select(
         "audit_month", *_SHOWN.split(", "))
 
 
@@ -223,7 +226,7 @@ def _facts(t):
     (SELECT sum(duplicate_rows) FROM per_month)::BIGINT AS duplicate_rows, (SELECT sum(unparseable) FROM per_month)::BIGINT AS unparseable,
     (SELECT count(*) FROM (SELECT key0 FROM per_key GROUP BY key0 HAVING sum(k) > 1) AS x) AS key_collisions""", _BOOKED_FACTS)
 def _table_facts(t):
-    return _grown(t, audits.BOOKED, t.reservations_stored).table().select("total_rows", "distinct_rows", "duplicate_rows", "unparseable", "key_collisions")
+    return _grown(t, audits.BOOKED, "reservations_stored").table().select("total_rows", "distinct_rows", "duplicate_rows", "unparseable", "key_collisions")
 
 
 @query("s06_load_tables", ("sales_report", "first_timers_report", "reservations_report", "scores"), """

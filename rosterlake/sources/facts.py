@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,25 +65,30 @@ def _listing(spark: SparkSession, path: str) -> dict[str, str]:
 
 
 def _counted(rows: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
-    """Facts of each month in ``rows``, and its keys with the number of different rows that have them. Rows are shuffled as
-    digests, and so are keys that hold the day: no two months share one, so nobody asks for them."""
+    """Facts of each month in ``rows``, and its keys with the number of different rows that have them. Rows are shuffled as two
+    hashes of their digest, which tell the rows of a key apart by 128 bits, and keys that hold the day as digests: no two months
+    share one, so nobody asks for them."""
     meet = spec.date_column not in spec.keys
     keys = [f"_key{i}" for i in range(len(spec.keys))] if meet else ["_key"]
     parts = [F.col(f"`{k}`") for k in spec.keys]
     held = [p.alias(n) for p, n in zip(parts, keys)] if meet else [F.unhex(F.md5(F.to_json(F.struct(*parts)))).alias("_key")]
     data = [c for c in rows.columns if c != MONTH]
 
-    def flag(condition: Column) -> Column:
-        return F.coalesce(condition, F.lit(False)).cast("int")
+    dated = spec.day().isNotNull()
+    conditions = {"bad": Q.is_bad_format(spec) & dated, "repair": Q.is_repairable(spec) & dated, "lost": spec.keep() & Q.is_unparseable(spec)}
+    bits = {name: 1 << i for i, name in enumerate(conditions)}
+    flags = reduce(Column.__add__, [F.when(c, bits[name]).otherwise(0) for name, c in conditions.items()])
 
-    marked = rows.select(
-        MONTH, *held, F.unhex(X.row_digest(rows.select(*[f"`{c}`" for c in data]))).alias("row_id"),
-        flag(Q.is_bad_format(spec) & spec.day().isNotNull()).alias("bad"), flag(Q.is_repairable(spec) & spec.day().isNotNull()).alias("repair"),
-        flag(spec.keep() & Q.is_unparseable(spec)).alias("lost"))
-    each = marked.groupBy(MONTH, *keys, "row_id", "bad", "repair", "lost").agg(F.count(F.lit(1)).alias("copies"))
-    mixed = F.pmod(F.pmod(F.xxhash64(F.lower(F.hex("row_id"))), F.lit(_MODULUS)).cast("decimal(19,0)") * F.col("copies").cast("decimal(18,0)"), F.lit(_MODULUS)).cast("decimal(20,0)")
+    def marked_rows(name: str) -> Column:
+        return F.when(F.col("flags").bitwiseAND(F.lit(bits[name])) > 0, F.col("copies")).otherwise(0)
+
+    digest = X.row_digest(rows.select(*[f"`{c}`" for c in data]))
+    marked = rows.select(MONTH, *held, F.xxhash64(digest).alias("row_id"), F.xxhash64(F.lit(1), digest).alias("row_id2"), flags.alias("flags"))
+    each = marked.groupBy(MONTH, *keys, "row_id", "row_id2", "flags").agg(F.count(F.lit(1)).alias("copies"))
+    mixed = F.pmod(F.pmod(F.col("row_id"), F.lit(_MODULUS)).cast("decimal(19,0)") * F.col("copies").cast("decimal(18,0)"), F.lit(_MODULUS)).cast("decimal(20,0)")
     per_key = each.groupBy(MONTH, *keys).agg(
-        F.sum("copies").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"), *[F.sum(F.col(c) * F.col("copies")).alias(c) for c in ("bad", "repair", "lost")],
+        F.sum("copies").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"),
+        *[F.sum(marked_rows(c)).alias(c) for c in bits],
         F.sum(mixed).alias("mixed"))
     facts = per_key.groupBy(MONTH).agg(
         F.count_if(F.col("n_distinct") > 1).alias("key_collisions"), F.sum("n_rows").alias("total_rows"), F.sum("n_distinct").alias("distinct_rows"),

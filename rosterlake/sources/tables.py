@@ -48,20 +48,24 @@ def deal(rows: DataFrame, day: Column) -> DataFrame:
     return rows.withColumn("_dealt", month_of(day)).hint("rebalance", "_dealt").drop("_dealt")
 
 
-def write_table(df: DataFrame, path: str, spec: TableSpec, mode: str = "errorifexists", dealt: bool = False) -> None:
+def write_table(df: DataFrame, path: str, spec: TableSpec, mode: str = "errorifexists", dealt: bool = False, apart: str | None = None
+                ) -> None:
     """Write a table partitioned by month. Rows are dealt out by month first, and a large month to several tasks, so that
     an append writes a few files for each month and not one for each month and task. Files are packed with zstd.
 
     ``dealt`` rows went through ``deal`` when they were narrow and are not shuffled again; a task then holds a few months (rows
     without a day lie in any) and writes up to ``OPEN_FILES`` of them side by side, so that wide rows are not sorted either.
+    A column named by ``apart`` makes several tables in one pass: the rows of each of its values are a table ``<apart>=<value>``
+    of their own below the path.
     """
     df = df if MONTH in df.columns else with_month(df, spec)
+    parts = [apart, MONTH] if apart else [MONTH]
     conf = df.sparkSession.conf
     before = {key: conf.get(key) for key in DEALT} if dealt else {}
     for key in before:
         conf.set(key, DEALT[key])
     try:
-        (df if dealt else df.hint("rebalance", MONTH)).write.mode(mode).option("compression", "zstd").partitionBy(MONTH).parquet(path)
+        (df if dealt else df.hint("rebalance", MONTH)).write.mode(mode).option("compression", "zstd").partitionBy(*parts).parquet(path)
     finally:
         for key, value in before.items():
             conf.set(key, value)

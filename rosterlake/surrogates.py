@@ -658,8 +658,8 @@ def base_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 #: The rows that business rows are made of one by one, as the views spell them, and the day that tells their month.
 LINES, ORDERS = "{lineitem} JOIN {orders} ON l_orderkey = o_orderkey", "{orders}"
-ROWS_OF = {"sales_report": (LINES, "l_shipdate"), "sales_stored": (LINES, "l_shipdate"), "first_timers_report": (ORDERS, "o_orderdate"),
-           "reservations_report": (ORDERS, "o_orderdate"), "reservations_stored": (ORDERS, "o_orderdate")}
+ROWS_OF = {"sales_report": (LINES, "l_shipdate"), "sales_stored": (LINES, "l_shipdate"), "sales_dups": (LINES, "l_shipdate"),
+           "first_timers_report": (ORDERS, "o_orderdate"), "reservations_report": (ORDERS, "o_orderdate"), "reservations_stored": (ORDERS, "o_orderdate")}
 
 
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:

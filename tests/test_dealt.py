@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from rosterlake import specs, surrogates
+from rosterlake.catalog import stored
+from rosterlake.catalog.base import Tables
 from rosterlake.sources import tables
 
 
@@ -48,3 +50,39 @@ def test_dealt_rows_are_written_whole_beyond_the_months_held_open(spark, tmp_pat
         **{f"{y}-{m:02d}": 3 for y in (2024, 2025) for m in range(1, 13)}, "none": 6}
     assert back.where(F.col(spec.date_column).isNull()).count() == 3
     assert all(".zstd." in f.name for f in (tmp_path / "t").rglob("part-*.parquet"))
+
+
+def rewritten(monkeypatch, run):
+    """What ``run`` returns, and the input files and the plan of every frame it writes as a table."""
+    seen, write = [], tables.write_table
+
+    def spy(df, *args, **options):
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain()
+        seen.append(({part for f in df.inputFiles() for part in ("lineitem", "orders", "later") if part in f}, out.getvalue()))
+        return write(df, *args, **options)
+
+    monkeypatch.setattr(tables, "write_table", spy)
+    return run(), seen
+
+
+def sold(spark, folder, days):
+    """The rows above, and a line of order 2, which is there twice, on each day."""
+    made(spark, folder)
+    lines = [(2, 10 + i, 4, 1, 49.0, 3.5, 0.1, "N", day) for i, day in enumerate(days)]
+    spark.createDataFrame(lines, spark.read.parquet(f"{folder}/lineitem.parquet").schema).write.mode("append").parquet(f"{folder}/lineitem.parquet")
+    return Tables(spark, str(folder))
+
+
+def test_a_table_that_grows_derives_its_rows_once_and_shuffles_narrow_ones(spark, tmp_path, monkeypatch):
+    late = sold(spark, tmp_path / "a", [datetime(1998, 3, 11), datetime(1998, 3, 12), datetime(1998, 3, 21), datetime(1998, 5, 11)])
+    none = sold(spark, tmp_path / "b", [datetime(1998, 3, 12)])
+    for t, later in ((late, {"later"}), (none, set())):
+        found, seen = rewritten(monkeypatch, lambda t=t: stored._facts(t))
+        assert [files for files, _ in seen] == [{"lineitem", "orders"}, later]
+        above, _, below = seen[0][1].partition("REBALANCE_PARTITIONS")
+        assert "@example.com" in above and "@example.com" not in below
+        rows = t.sales_dups.groupBy(tables.month_of(specs.SALES_TEXT.day()).alias("m")).count().collect()
+        assert {r["audit_month"]: r["total_rows"] for r in found.collect()} == {r["m"]: r["count"] for r in rows}
+        monkeypatch.undo()
