@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rosterlake import specs
 from rosterlake.catalog import audits, syncs
-from rosterlake.catalog.base import Tables, d_map, query
+from rosterlake.catalog.base import DealtTables, Tables, d_map, query
 from rosterlake.catalog.reports import SOURCES
 from rosterlake.plans import audit
 from rosterlake.plans import ratings as R
@@ -68,7 +68,7 @@ def _landed(t):
 def _replaced(t):
     """The audit of a stored table in place: its month is replaced under a row count, the backfill appended."""
     path = f"{_home(t)}/table"
-    tables.write_table(audits.sales_stored(t), path, SALES)
+    tables.write_table(audits.sales_stored(DealtTables(t.spark, t.folder)), path, SALES, dealt=True)
     audit.apply_audit(SALES, path, audits.sales_source(t), "2000-03", audits.TODAY)
     return t.spark.read.parquet(path).select(*SALES.names)
 

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from rosterlake import specs, surrogates
-from rosterlake.catalog import stored
+from rosterlake.catalog import audits, landed, stored
 from rosterlake.catalog.base import Tables
 from rosterlake.sources import tables
 
@@ -86,3 +86,17 @@ def test_a_table_that_grows_derives_its_rows_once_and_shuffles_narrow_ones(spark
         rows = t.sales_dups.groupBy(tables.month_of(specs.SALES_TEXT.day()).alias("m")).count().collect()
         assert {r["audit_month"]: r["total_rows"] for r in found.collect()} == {r["m"]: r["count"] for r in rows}
         monkeypatch.undo()
+
+
+def test_a_month_is_replaced_in_a_table_whose_rows_were_shuffled_narrow(spark, tmp_path, monkeypatch):
+    t = sold(spark, tmp_path, [datetime(2000, 3, d) for d in (1, 2, 11, 12, 12)] + [datetime(2000, 4, 11), datetime(2000, 4, 12)])
+    found, seen = rewritten(monkeypatch, lambda: landed._replaced(t))
+    above, _, below = seen[0][1].partition("REBALANCE_PARTITIONS")
+    assert "@example.com" in above and "@example.com" not in below
+
+    def outside(rows):
+        return sorted(str(r) for r in rows.collect() if r["transaction_date"] is None or "/2000" not in r["transaction_date"] or "3/" not in r["transaction_date"][:3])
+
+    assert outside(found) == outside(audits.sales_stored(t).select(*found.columns))
+    held = found.where("transaction_date LIKE '03/%/2000'").groupBy("transaction_date").count().collect()
+    assert {r["transaction_date"]: r["count"] for r in held} == {"03/01/2000": 2, "03/02/2000": 2, "03/11/2000": 1, "03/12/2000": 4}
