@@ -32,7 +32,7 @@ def land(t: Tables, spec: specs.TableSpec, path: str) -> None:
     """The report of a table as files of envelopes, each with its headers and a page of rows."""
     view, cells = SOURCES[spec]
     reports.write_report(getattr(t, view).select(F.array(*[F.col(c).cast("string") for c in cells]).alias("row")), spec.headers, path,
-                         compression="snappy")
+                         compression="gzip")
 
 
 def landed_report(t: Tables, spec: specs.TableSpec, home: str) -> DataFrame:

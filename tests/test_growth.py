@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from rosterlake import specs
+from rosterlake.catalog import landed
+from rosterlake.catalog.base import Tables
+from rosterlake.catalog.reports import SOURCES
 from rosterlake.functions import dates as D
 from rosterlake.operators import keyed as K
 from rosterlake.plans import audit
@@ -93,3 +96,15 @@ def test_facts_shuffle_digests_of_keys_that_hold_the_day(spark, tmp_path):
     assert "_key#" in plan and "_key0" not in plan
     found = facts.refresh(spark, path, spec).months.select("audit_month", "total_rows", "distinct_rows", "key_collisions", "repairable", "unparseable")
     assert sorted(tuple(r) for r in found.collect()) == [("2026-06", 6, 5, 1, 1, 0), ("none", 1, 1, 0, 0, 1)]
+
+
+def test_a_report_is_landed_smaller_than_snappy_makes_it(spark, tmp_path):
+    """Rows of a report repeat their words, not in runs: a codec with an entropy coder takes much less of the shared disk."""
+    spec, t = specs.SALES_TEXT, Tables(spark, entry.SMOKE_DIR)
+    landed.land(t, spec, str(tmp_path / "landed"))
+    rows = t.sales_report.select(F.array(*[F.col(c).cast("string") for c in SOURCES[spec][1]]).alias("row"))
+    reports.write_report(rows, spec.headers, str(tmp_path / "snappy"), compression="snappy")
+    size = {n: sum(f.stat().st_size for f in (tmp_path / n).glob("part-*")) for n in ("landed", "snappy")}
+    assert size["landed"] < 0.7 * size["snappy"]
+    back = [reports.read_table_report(spark, str(tmp_path / n), spec, lines=True) for n in ("landed", "snappy")]
+    assert back[0].count() == rows.count() and back[0].exceptAll(back[1]).count() == 0
